@@ -5,6 +5,8 @@ from __future__ import annotations
 import string
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,5 +66,19 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per context, so that Python workers can import it anywhere."""
+    sc = spark.sparkContext
+    if getattr(sc, "_boxloom_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="boxloom-ship-")) / "boxloom_package.zip"
+    with zipfile.ZipFile(target, "w") as packed:
+        for source in sorted(package.rglob("*.py")):
+            packed.write(source, Path(package.name) / source.relative_to(package))
+    sc.addPyFile(str(target))
+    sc._boxloom_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import exact_dedup, warc
 from .common import scratch, table
 
 
@@ -17,11 +17,26 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return warc.round_trip(spark, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op1_warc": op1_warc,
     "op5_exact_dedup": op5_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op1_warc": """
+        WITH t AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        g AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM t)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+        FROM g""",
     "op5_exact_dedup": """
         WITH t AS (
             SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h
