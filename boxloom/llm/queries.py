@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, warc
+from . import exact_dedup, sharding, warc
 from .common import scratch, table
 
 
@@ -22,9 +22,18 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"), shards=24)
+    return placed.select(
+        F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op5_exact_dedup": op5_exact_dedup,
+    "op9_sharding": op9_sharding,
 }
 
 ORACLE_SQL = {
