@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, sharding, warc
+from . import exact_dedup, packing, sharding, url_filter, warc
 from .common import scratch, table
 
 
@@ -26,6 +26,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), size=2048)
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), shards=24)
     return placed.select(
@@ -38,6 +43,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_url_filter": op6_url_filter,
     "op9_sharding": op9_sharding,
 }
 
@@ -59,4 +65,5 @@ ORACLE_SQL = {
                doc_id = max(doc_id) OVER (PARTITION BY h)
                  AND row_number() OVER (PARTITION BY h, doc_id) = 1 AS kept, h AS text_sha256
         FROM t""",
+    "op6_url_filter": url_filter.judge_sql(),
 }
