@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, sharding, url_filter, warc
+from . import ann, exact_dedup, packing, sharding, url_filter, warc
 from .common import scratch, table
 
 
@@ -26,6 +26,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), size=2048)
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -42,6 +46,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
+    "op4_ann": op4_ann,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filter": op6_url_filter,
     "op9_sharding": op9_sharding,
