@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, packing, sharding, url_filter, warc
+from . import ann, exact_dedup, packing, sharding, toxicity, url_filter, warc
 from .common import scratch, table
 
 
@@ -26,6 +26,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), size=2048)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = lambda ident: F.pmod(F.crc32(ident.cast("string").cast("binary")), F.lit(5))
+    held_out = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold(F.col("doc_id")) != 0)
+    scored = toxicity.score(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
 
@@ -46,6 +54,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_ann": op4_ann,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filter": op6_url_filter,
