@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, packing, sharding, toxicity, url_filter, warc
+from . import ann, exact_dedup, packing, quality, sharding, toxicity, url_filter, warc
 from .common import scratch, table
 
 
@@ -51,6 +51,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "lang", F.col("n").alias("text_bytes"), "perplexity", F.col("bound").alias("limit"), "kept")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
@@ -59,6 +64,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filter": op6_url_filter,
     "op9_sharding": op9_sharding,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL = {
