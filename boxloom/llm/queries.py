@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, packing, quality, sharding, toxicity, url_filter, warc
+from . import ann, exact_dedup, jaccard, packing, quality, sharding, toxicity, url_filter, warc
 from .common import scratch, table
 
 
@@ -43,6 +43,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard.join(table(spark, sf_dir, "documents"), width=4, num=85, den=100)
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), shards=24)
     return placed.select(
@@ -63,6 +68,7 @@ QUERIES = {
     "op4_ann": op4_ann,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filter": op6_url_filter,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }
