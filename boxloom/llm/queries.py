@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, jaccard, packing, quality, sharding, toxicity, url_filter, warc
+from . import ann, exact_dedup, jaccard, mixing, packing, quality, sharding, toxicity, url_filter, warc
 from .common import scratch, table
 
 
@@ -48,6 +48,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.uses(table(spark, sf_dir, "documents")).select("doc_id", "domain", "lang", "source", "tokens", "quota", "times")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), shards=24)
     return placed.select(
@@ -69,6 +73,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }
@@ -92,4 +97,5 @@ ORACLE_SQL = {
                  AND row_number() OVER (PARTITION BY h, doc_id) = 1 AS kept, h AS text_sha256
         FROM t""",
     "op6_url_filter": url_filter.judge_sql(),
+    "op8_mixing": mixing.uses_sql(),
 }
