@@ -1,11 +1,15 @@
-"""Box-constraint queries over the supplied tables."""
+"""Box constraints and edit ranking over the supplied tables."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import ranges
+from ..functions import box
+from ..operators import moves, ranges
+from ..sources import search
 from ..sources.tables import table
 
 
@@ -21,10 +25,109 @@ def box_hit_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"box_hit_count": box_hit_count}
+def sampled_hit_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The estimate from a tenth of the pool (by key), scaled up, one hit at least."""
+    pool = table(spark, sf_dir, "lineitem").select(*ranges.KEY, "l_quantity", "l_extendedprice", "l_discount")
+    boxes = ranges.sample_boxes(pool, modulus=997, most=200)
+    tenth = pool.where(F.pmod(F.col("l_orderkey") * 7 + F.col("l_partkey"), F.lit(10)) == 0)
+    some = ranges.hit_counts(boxes, tenth, {"l_quantity": ("q_lo", "q_hi"), "l_extendedprice": ("p_lo", "p_hi")}, grid=("l_quantity", 11.0))
+    size = pool.agg(F.count("*").alias("whole"))
+    scaled = F.greatest(F.round(F.col("hit_count") / F.col("pool_size") * F.col("whole")), F.lit(1.0)).cast("bigint")
+    return some.crossJoin(F.broadcast(size)).select("id", F.col("hit_count").alias("sample_hits"), scaled.alias("estimated_hits"))
+
 
-ORACLE_SQL = {
-    "box_hit_count": """
+def parquet_range_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range specification as a pushed-down filter, with one row more than the limit to show there are more."""
+    found = search.range_search(
+        table(spark, sf_dir, "part"), {"p_size": [10, 20], "p_retailprice": {"min": 950.0}, "p_type": None, "unknown": 3}, most=50, order="p_partkey"
+    )
+    return found.select("p_partkey", "p_size", F.round("p_retailprice", 2).alias("p_retailprice"))
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with a missing size for every 13th and a price that isn't a number for every 17th."""
+    size = F.when(F.pmod("p_partkey", F.lit(13)) != 0, F.col("p_size").cast("double"))
+    price = F.when(F.pmod("p_partkey", F.lit(17)) == 0, F.lit(float("nan"))).otherwise(F.col("p_retailprice"))
+    return table(spark, sf_dir, "part").select("p_partkey", size.alias("size"), price.alias("price"))
+
+
+_BOXES = [("size", 10.0, 30.0), ("price", 1400.0, 1100.0), ("price", 1000.0, None)]
+
+
+def _terms() -> list:
+    return [(F.col(c), F.lit(lo).cast("double"), F.lit(hi).cast("double")) for c, lo, hi in _BOXES]
+
+
+def violation_score(mode: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Penalty of each part; the second box has its bounds inverted on purpose, the third is open above."""
+    terms = _terms()
+    return _parts(spark, sf_dir).select("p_partkey", F.round(box.score(terms, mode), 6).alias("score"))
+
+
+def satisfied_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tri-state tests and the share of boxes held; a missing value counts in the denominator."""
+    first, _, third = _terms()
+    return _parts(spark, sf_dir).select(
+        "p_partkey",
+        box.undecided(*first).alias("decided"),
+        F.round(box.satisfied_share([first, third]), 6).alias("sat_ratio"),
+        (box.inside(*first) & box.inside(*third)).alias("all_ok"),
+    )
+
+
+def interval_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each price lies, given a spread of 60, with `k` = 1."""
+    price = F.col("price")
+    label = box.bucket(price, F.lit(1100.0), F.lit(1500.0), F.lit(60.0))
+    return _parts(spark, sf_dir).groupBy(label.alias("bucket")).agg(F.count("*").alias("n"))
+
+
+_TARGET = moves.Target({"size": (5.0, 20.0, 30.0, 10.0), "price": (1500.0, 1200.0, 1400.0, 100.0)})
+
+
+def _moves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict, dict]:
+    """Each part as an edit: what it does to size and price, and how surely."""
+    edits = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_brand", "p_type", (F.col("p_size") - 25.0).alias("d_size"), ((F.col("p_retailprice") - 1000.0) / 10).alias("d_price"),
+        (F.pmod("p_partkey", F.lit(5)) + 1.0).alias("s_size"), (F.pmod("p_partkey", F.lit(7)) * 10 + 5.0).alias("s_price"),
+    )
+    return edits, {"size": F.col("d_size"), "price": F.col("d_price")}, {"size": F.col("s_size"), "price": F.col("s_price")}
+
+
+def ranked(kind: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    edits, delta, std = _moves(spark, sf_dir)
+    return moves.top(edits, moves.objective(_TARGET, delta, std, kind), "p_partkey", 50).select("p_partkey", "score")
+
+
+def variant_cap_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two variants of a rule at most, best of each rule first."""
+    edits, delta, std = _moves(spark, sf_dir)
+    best = moves.capped(edits, ["p_brand", "p_type"], moves.objective(_TARGET, delta, std, "gap"), "p_partkey", cap=2, k=200)
+    return best.select("p_partkey", "p_brand", "p_type", "variant", "score")
+
+
+def best_per_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest reduction for each brand, and its edit."""
+    edits, delta, std = _moves(spark, sf_dir)
+    scored = edits.withColumn("score", F.round(moves.objective(_TARGET, delta, std, "gap"), 6))
+    best = F.max(F.struct("score", (-F.col("p_partkey")).alias("key"))).alias("best")
+    return scored.groupBy("p_brand").agg(best).select("p_brand", F.col("best.score").alias("score"), (-F.col("best.key")).alias("p_partkey"))
+
+
+QUERIES = {
+    "box_hit_count": box_hit_count,
+    "sampled_hit_rate": sampled_hit_rate,
+    "parquet_range_search": parquet_range_search,
+    **{f"violation_score_{m}": partial(violation_score, m) for m in ("l1", "l2", "hard")},
+    "satisfied_ratio": satisfied_ratio,
+    "interval_bucket": interval_bucket,
+    "norm_gap_topk": partial(ranked, "gap"),
+    **{f"objective_{k}": partial(ranked, k) for k in ("count", "minmax", "gapstd", "prob")},
+    "variant_cap_topk": variant_cap_topk,
+    "best_per_rule": best_per_rule,
+}
+
+_BOX_SQL = """
         WITH refs AS (
             SELECT * FROM lineitem
             WHERE (l_orderkey * 31 + l_partkey * 17 + l_suppkey * 7 + l_linenumber) % 997 = 0
@@ -34,9 +137,73 @@ ORACLE_SQL = {
                    l_quantity - 5 AS q_lo, l_quantity + 5 AS q_hi,
                    floor(l_extendedprice * 0.9) AS p_lo, ceil(l_extendedprice * 1.1) AS p_hi, l_discount AS d_lo
             FROM refs),
-        n AS (SELECT count(*) AS pool_size FROM lineitem)
+        n AS (SELECT count(*) AS pool_size FROM lineitem)"""
+
+_PARTS_SQL = """
+        WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 13 <> 0 THEN p_size::DOUBLE END AS size,
+                          CASE WHEN p_partkey % 17 <> 0 THEN p_retailprice END AS price FROM part)"""
+
+
+def _score_sql(mode: str) -> str:
+    def one(c: str, lo: float, hi: float | None) -> str:
+        low, high = (min(lo, hi), max(lo, hi)) if hi is not None else (lo, None)
+        off = f"greatest(0.0, {low} - {c}" + (f", {c} - {high})" if high is not None else ")")
+        size = high - low if high is not None and high > low else 1.0
+        bad = f"({c} < {low}" + (f" OR {c} > {high})" if high is not None else ")")
+        term = {"hard": f"({bad})::INT::DOUBLE", "l1": f"{off} / {size}", "l2": f"power({off} / {size}, 2)"}[mode]
+        return f"CASE WHEN {c} IS NULL THEN 1e6 ELSE {term} END"
+
+    ok = " AND ".join(f"coalesce({c} >= {min(lo, hi or lo)}" + (f" AND {c} <= {max(lo, hi)}" if hi else "") + ", false)" for c, lo, hi in _BOXES)
+    return f"{_PARTS_SQL} SELECT p_partkey, round(CASE WHEN {ok} THEN 1.0 ELSE 0.0 END - ({' + '.join(one(*b) for b in _BOXES)}), 6) AS score FROM p"
+
+
+_MOVES_SQL = """
+        WITH m AS (SELECT p_partkey, p_brand, p_type, 5.0 + (p_size - 25.0) AS size, 1500.0 + (p_retailprice - 1000.0) / 10 AS price,
+                          p_partkey % 5 + 1.0 AS ss, p_partkey % 7 * 10 + 5.0 AS sp FROM part),
+        g AS (SELECT *, greatest(0.0, 20.0 - size, size - 30.0) / 10.0 AS gs, greatest(0.0, 1200.0 - price, price - 1400.0) / 100.0 AS gp FROM m)"""
+_PHI = "(1.0 / (1.0 + exp(-1.5976 * ({0}) - 0.07056 * ({0}) * ({0}) * ({0}))))"
+_SCORES_SQL = {
+    "gap": "round(2.5 - (gs + gp), 6)",
+    "count": "round((gs = 0)::INT::DOUBLE + (gp = 0)::INT::DOUBLE, 6)",
+    "minmax": "round(-greatest(gs, gp, 0.0), 6)",
+    "gapstd": "round(-(gs + ss / 10.0 + gp + sp / 100.0), 6)",
+    "prob": f"round(({_PHI.format('(30.0 - size) / ss')} - {_PHI.format('(20.0 - size) / ss')}) * ({_PHI.format('(1400.0 - price) / sp')} - {_PHI.format('(1200.0 - price) / sp')}), 6)",
+}
+
+
+def _ranked_sql(kind: str) -> str:
+    return f"{_MOVES_SQL}, s AS (SELECT p_partkey, {_SCORES_SQL[kind]} AS score FROM g) SELECT p_partkey, score FROM s ORDER BY score DESC, p_partkey LIMIT 50"
+
+
+ORACLE_SQL = {
+    "box_hit_count": f"""{_BOX_SQL}
         SELECT id, count(*) AS hit_count, count(*) / any_value(pool_size)::DOUBLE AS hit_rate, any_value(pool_size) AS pool_size
         FROM boxes, lineitem, n
         WHERE l_quantity BETWEEN q_lo AND q_hi AND l_extendedprice BETWEEN p_lo AND p_hi AND l_discount >= d_lo
         GROUP BY id""",
+    "sampled_hit_rate": f"""{_BOX_SQL},
+        t AS (SELECT * FROM lineitem WHERE (l_orderkey * 7 + l_partkey) % 10 = 0), tn AS (SELECT count(*) AS c FROM t)
+        SELECT id, count(*) AS sample_hits, greatest(round(count(*) / any_value(c)::DOUBLE * any_value(pool_size)), 1)::BIGINT AS estimated_hits
+        FROM boxes, t, n, tn WHERE l_quantity BETWEEN q_lo AND q_hi AND l_extendedprice BETWEEN p_lo AND p_hi GROUP BY id""",
+    "parquet_range_search": """
+        SELECT p_partkey, p_size, round(p_retailprice, 2) AS p_retailprice FROM part
+        WHERE p_size BETWEEN 10 AND 20 AND p_retailprice >= 950 ORDER BY p_partkey LIMIT 51""",
+    **{f"violation_score_{m}": _score_sql(m) for m in ("l1", "l2", "hard")},
+    "satisfied_ratio": f"""{_PARTS_SQL}
+        SELECT p_partkey, size BETWEEN 10 AND 30 AS decided,
+               round((coalesce(size BETWEEN 10 AND 30, false)::INT + coalesce(price >= 1000, false)::INT) / 2.0, 6)::DOUBLE AS sat_ratio,
+               coalesce(size BETWEEN 10 AND 30, false) AND coalesce(price >= 1000, false) AS all_ok FROM p""",
+    "interval_bucket": f"""{_PARTS_SQL},
+        d AS (SELECT price, greatest(0.0, 1100 - price, price - 1500) AS d, least(price - 1100, 1500 - price) AS m FROM p)
+        SELECT CASE WHEN price IS NULL THEN 'misses' WHEN d = 0 AND m >= 60 THEN 'holds' WHEN d = 0 THEN 'at risk'
+                    WHEN d <= 60 THEN 'within reach' ELSE 'misses' END AS bucket, count(*) AS n FROM d GROUP BY 1""",
+    "norm_gap_topk": _ranked_sql("gap"),
+    **{f"objective_{k}": _ranked_sql(k) for k in ("count", "minmax", "gapstd", "prob")},
+    "variant_cap_topk": f"""{_MOVES_SQL},
+        s AS (SELECT p_partkey, p_brand, p_type, {_SCORES_SQL["gap"]} AS score FROM g),
+        r AS (SELECT *, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY score DESC, p_partkey)::INT AS variant FROM s)
+        SELECT p_partkey, p_brand, p_type, variant, score FROM r WHERE variant <= 2 ORDER BY variant, score DESC, p_partkey LIMIT 200""",
+    "best_per_rule": f"""{_MOVES_SQL},
+        s AS (SELECT p_partkey, p_brand, {_SCORES_SQL["gap"]} AS score FROM g)
+        SELECT p_brand, score, p_partkey FROM s QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY score DESC, p_partkey) = 1""",
 }
