@@ -64,15 +64,17 @@ def score(boxes: list[tuple[Column, Column, Column]], mode: str, penalty: float
     bounds are swapped; a missing value costs `penalty`.
     """
 
+    swap = lambda lo, hi: (F.when(hi < lo, hi).otherwise(lo), F.when(hi < lo, lo).otherwise(hi))
+
     def one(v: Column, lo: Column, hi: Column) -> Column:
-        low, high = F.least(lo, hi), F.greatest(lo, hi)
+        low, high = swap(lo, hi)
         if mode == "hard":
             term = (~inside(v, low, high)).cast("double")
         else:
             term = F.pow(distance(v, low, high) / width(low, high), F.lit({"l1": 1.0, "l2": 2.0}[mode]))
         return F.when(clean(v).isNull(), F.lit(penalty)).otherwise(term)
 
-    ordered = [(v, F.least(lo, hi), F.greatest(lo, hi)) for v, lo, hi in boxes]
+    ordered = [(v, *swap(lo, hi)) for v, lo, hi in boxes]
     bonus = F.when(reduce(lambda a, b: a & b, [inside(*b) for b in ordered]), F.lit(1.0)).otherwise(F.lit(0.0))
     return bonus - total([one(*b) for b in boxes])
 

@@ -51,7 +51,7 @@ def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", size.alias("size"), price.alias("price"))
 
 
-_BOXES = [("size", 10.0, 30.0), ("price", 1400.0, 1100.0), ("price", 1000.0, None)]
+_BOXES = [("size", 10.0, 30.0), ("price", 980.0, 940.0), ("price", 930.0, None)]
 
 
 def _terms() -> list:
@@ -76,9 +76,9 @@ def satisfied_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def interval_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where each price lies, given a spread of 60, with `k` = 1."""
+    """Where each price lies, given a spread of 15, with `k` = 1."""
     price = F.col("price")
-    label = box.bucket(price, F.lit(1100.0), F.lit(1500.0), F.lit(60.0))
+    label = box.bucket(price, F.lit(940.0), F.lit(980.0), F.lit(15.0))
     return _parts(spark, sf_dir).groupBy(label.alias("bucket")).agg(F.count("*").alias("n"))
 
 
@@ -191,12 +191,12 @@ ORACLE_SQL = {
     **{f"violation_score_{m}": _score_sql(m) for m in ("l1", "l2", "hard")},
     "satisfied_ratio": f"""{_PARTS_SQL}
         SELECT p_partkey, size BETWEEN 10 AND 30 AS decided,
-               round((coalesce(size BETWEEN 10 AND 30, false)::INT + coalesce(price >= 1000, false)::INT) / 2.0, 6)::DOUBLE AS sat_ratio,
-               coalesce(size BETWEEN 10 AND 30, false) AND coalesce(price >= 1000, false) AS all_ok FROM p""",
+               round((coalesce(size BETWEEN 10 AND 30, false)::INT + coalesce(price >= 930, false)::INT) / 2.0, 6)::DOUBLE AS sat_ratio,
+               coalesce(size BETWEEN 10 AND 30, false) AND coalesce(price >= 930, false) AS all_ok FROM p""",
     "interval_bucket": f"""{_PARTS_SQL},
-        d AS (SELECT price, greatest(0.0, 1100 - price, price - 1500) AS d, least(price - 1100, 1500 - price) AS m FROM p)
-        SELECT CASE WHEN price IS NULL THEN 'misses' WHEN d = 0 AND m >= 60 THEN 'holds' WHEN d = 0 THEN 'at risk'
-                    WHEN d <= 60 THEN 'within reach' ELSE 'misses' END AS bucket, count(*) AS n FROM d GROUP BY 1""",
+        d AS (SELECT price, greatest(0.0, 940 - price, price - 980) AS d, least(price - 940, 980 - price) AS m FROM p)
+        SELECT CASE WHEN price IS NULL THEN 'misses' WHEN d = 0 AND m >= 15 THEN 'holds' WHEN d = 0 THEN 'at risk'
+                    WHEN d <= 15 THEN 'within reach' ELSE 'misses' END AS bucket, count(*) AS n FROM d GROUP BY 1""",
     "norm_gap_topk": _ranked_sql("gap"),
     **{f"objective_{k}": _ranked_sql(k) for k in ("count", "minmax", "gapstd", "prob")},
     "variant_cap_topk": f"""{_MOVES_SQL},
