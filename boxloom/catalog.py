@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import boxes, mining, ranking
+from .plans import boxes, corpus, mining, ranking
 
-MODULES = (boxes, mining, ranking)
+MODULES = (boxes, mining, ranking, corpus)
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
