@@ -3,7 +3,8 @@
 A document's set are the hashes of its distinct word shingles. Documents with equal sets are one node
 from the start, so copies are never compared. Then:
 
-1. Nodes are dealt to blocks. Each block sends its shingles to shards, which count the sets that hold
+1. Texts are kept, compressed, in a table bucketed by the blocks that they are read in, which is never
+   shuffled. Each block sends its shingles to shards, which count the sets that hold
    each, over all blocks, and reply with the shingle's class: 0 if it occurs once, else one more than
    the logarithm of its count. The class (a function of the shingle alone) and the hash order all
    shingles, rare ones first.
@@ -18,7 +19,9 @@ from the start, so copies are never compared. Then:
    all others; links join components. After `rounds` rounds, all pairs under one key that still lie
    in different components are compared, in blocks. So every pair of similar sets is compared or
    already connected, while a group of many near copies costs a multiple of its size, not its square.
-   Pairs whose sizes exclude the similarity are left out.
+   Pairs are left out where their sizes exclude the similarity, or the places of the key's shingles in
+   the two sets do: what stands before the first shared shingle is not shared. In the first round the
+   set that can share most is a hub too, as the text that others were copied from would be.
 
 Similarity is exact on the sets of 64-bit shingle hashes.
 
@@ -39,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, partitions, ship
+from .common import BLOCK_BITS, fresh, in_blocks, materialise, partitions, row_numbers, ship
 
 BLANK = np.zeros(256, bool)
 BLANK[[32, *range(9, 14)]] = True
@@ -113,64 +116,67 @@ def from_deltas(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(steps).view("<u4").ravel().astype(np.int64)).astype(np.uint32)
 
 
-def prefix_keys(tokens: np.ndarray, kinds: np.ndarray, num: int, den: int, long: int) -> np.ndarray:
-    """The keys that a set is listed under; `tokens` in the global order, `kinds` their classes."""
+def prefix_keys(tokens: np.ndarray, kinds: np.ndarray, num: int, den: int, long: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys that a set is listed under, most shingles it can share with a set that first shares this key's).
+
+    `tokens` are in the global order, `kinds` their classes. Where a single shingle is the first shared
+    one, no more than it and those after it are shared; where a combination is, one more than its last
+    and those after that.
+    """
     n = len(tokens)
     prefix = n - -(-num * n // den) + 1
     head = kinds[:prefix]
-    rare = tokens[:prefix][(head > 0) & (head < FREQUENT)]
-    often = np.flatnonzero(head >= FREQUENT)
-    keys = [rare]
+    rare, often = np.flatnonzero((head > 0) & (head < FREQUENT)), np.flatnonzero(head >= FREQUENT)
+    keys, rest = [tokens[rare]], [n - rare]
     if len(often) and n * den >= long * num:
-        keys.append(mix(tokens[:prefix][often] + np.uint64(1)))
+        keys.append(mix(tokens[often] + np.uint64(1)))
+        rest.append(n - often)
     if len(often) and n <= long:
         for i in often:
-            keys.append(mix(tokens[i] * np.uint64(3) + mix(tokens[i + 1 : prefix + 1])))
-    return np.unique(np.concatenate(keys))
+            after = np.arange(i + 1, min(prefix + 1, n))
+            keys.append(mix(tokens[i : i + 1] * np.uint64(3) + mix(tokens[after])))
+            rest.append(1 + n - after)
+    return np.concatenate(keys), np.concatenate(rest)
 
 
 # The jobs
 
 
 def read_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(row, doc_id, text_hash, n, same, body): each document's set size, a digest of its set, and its bytes, compressed."""
+    """(block, row, doc_id, text_hash, n, same, body): each document's set size, a digest of its set, and its bytes, compressed."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
 
-        pack = zstandard.ZstdCompressor(level=1)
+        pack, numbers = zstandard.ZstdCompressor(level=3), row_numbers()
         for batch in batches:
             rows = []
             for ident, text, mark in zip(batch["id"], batch["text"], batch["text_hash"]):
                 body = ("" if text is None else text).encode().translate(LOWER)
                 own = shingles(body, width)
-                rows.append((ident, mark, len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest(), pack.compress(body)))
-            yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "n", "same", "body"])
+                rows.append((next(numbers), ident, mark, len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest(), pack.compress(body)))
+            yield pd.DataFrame(rows, columns=["row", "doc_id", "text_hash", "n", "same", "body"])
 
     source = docs.select(F.col(id_col).cast("bigint").cast("string").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
-    found = source.mapInPandas(read, "doc_id string, text_hash bigint, n bigint, same binary, body binary")
-    return found.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text_hash", "n", "same", "body")
+    found = source.mapInPandas(read, "row bigint, doc_id string, text_hash bigint, n bigint, same binary, body binary")
+    return in_blocks(found.withColumn("doc_id", F.col("doc_id").cast("bigint")), "jaccard-rows")
 
 
-def listed(rows: DataFrame, nodes: DataFrame, width: int, num: int, den: int, long: int, per_block: int) -> DataFrame:
-    """(node, keys, tokens): nodes that share a prefix key's shingles with others, their keys and sets as binary."""
+def listed(rows: DataFrame, nodes: DataFrame, width: int, num: int, den: int, long: int) -> DataFrame:
+    """(node, n, keys, rest, tokens): nodes whose prefix others may share, their keys with what these leave to share, and their shingles that others have."""
     import zstandard
 
-    spark = rows.sparkSession
-    blocks = max(1, -(-nodes.count() // per_block))
-    shards = max(partitions(spark), blocks)
-    home = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("block")
-    bodies = rows.where("n > 0").select(F.col("row").alias("node"), "body").unionByName(nodes.select("node", F.lit(None).cast("binary").alias("body")))
-    dealt = materialise(bodies.select(home, "node", "body").repartition(blocks, "block"), "jaccard-blocks")
+    shards = partitions(rows.sparkSession)
+    chosen = nodes.select(F.shiftright("node", BLOCK_BITS).alias("block"), "node")
+    bodies = rows.select("block", "row", "body").groupBy("block")
 
-    def opened(group: pd.DataFrame) -> tuple[np.ndarray, list[np.ndarray]]:
-        chosen = set(group["node"][group["body"].isna()])
-        kept = group[group["body"].notna() & group["node"].isin(chosen)].sort_values("node")
+    def opened(group: pd.DataFrame, chosen: pd.Series) -> tuple[np.ndarray, list[np.ndarray]]:
+        kept = group[group["row"].isin(chosen)].sort_values("row")
         unpack = zstandard.ZstdDecompressor()
-        return kept["node"].to_numpy(), [shingles(unpack.decompress(b), width) for b in kept["body"]]
+        return kept["row"].to_numpy(), [shingles(unpack.decompress(b), width) for b in kept["body"]]
 
-    def ask(group: pd.DataFrame) -> pd.DataFrame:
-        _, sets = opened(group)
+    def ask(group: pd.DataFrame, chosen: pd.DataFrame) -> pd.DataFrame:
+        _, sets = opened(group, chosen["node"])
         if not sets:
             return pd.DataFrame({"shard": [], "block": [], "codes": [], "counts": []})
         codes, counts = np.unique(code(np.concatenate(sets)), return_counts=True)
@@ -193,24 +199,27 @@ def listed(rows: DataFrame, nodes: DataFrame, width: int, num: int, den: int, lo
         })
 
     def index(group: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        nodes, sets = opened(group)
+        nodes, sets = opened(group, replies["node"][replies["shard"] < 0])
         rows = []
         if sets:
             codes = np.unique(code(np.concatenate(sets)))
-            kinds = np.frombuffer(b"".join(zstandard.decompress(k) for k in replies.sort_values("shard")["kinds"]), np.uint8)
+            kinds = np.frombuffer(b"".join(zstandard.decompress(k) for k in replies[replies["shard"] >= 0].sort_values("shard")["kinds"]), np.uint8)
             of = kinds[np.searchsorted(codes, code(np.concatenate(sets)))]
             for node, own, kind in zip(nodes, sets, np.split(of, np.cumsum([len(s) for s in sets])[:-1])):
                 prefix = len(own) - -(-num * len(own) // den) + 1
                 if (kind == 0).sum() >= prefix:
                     continue  # the prefix holds shingles of this set alone
                 order = np.lexsort((own, kind))
-                keys = prefix_keys(own[order], kind[order], num, den, long)
-                rows.append((node, len(own), keys.view(np.int64).tolist(), own[kind > 0].tobytes()))
-        return pd.DataFrame(rows, columns=["node", "n", "keys", "tokens"])
-
-    asked = dealt.groupBy("block").applyInPandas(ask, "shard int, block int, codes binary, counts binary").repartition(shards, "shard")
-    replies = asked.groupBy("shard").applyInPandas(classify, "shard int, block int, kinds binary")
-    found = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(index, "node bigint, n bigint, keys array<bigint>, tokens binary")
+                keys, rest = prefix_keys(own[order], kind[order], num, den, long)
+                rows.append((node, len(own), keys.view(np.int64).tolist(), rest.tolist(), own[kind > 0].tobytes()))
+        return pd.DataFrame(rows, columns=["node", "n", "keys", "rest", "tokens"])
+
+    asked = bodies.cogroup(chosen.groupBy("block")).applyInPandas(ask, "shard int, block bigint, codes binary, counts binary")
+    replies = asked.groupBy("shard").applyInPandas(classify, "shard int, block bigint, kinds binary")
+    replies = replies.select("shard", "block", "kinds", F.lit(None).cast("bigint").alias("node")).unionByName(
+        chosen.select(F.lit(-1).alias("shard"), "block", F.lit(None).cast("binary").alias("kinds"), "node")
+    )
+    found = bodies.cogroup(replies.groupBy("block")).applyInPandas(index, "node bigint, n bigint, keys array<bigint>, rest array<bigint>, tokens binary")
     return materialise(found, "jaccard-listed")
 
 
@@ -258,29 +267,33 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 
 def links(sets: DataFrame, num: int, den: int, rounds: int, hubs: int) -> DataFrame:
     """(node, root) of all nodes that are connected with another."""
-    posts = sets.select("node", "n", F.explode("keys").alias("key"))
+    posts = sets.select("node", "n", F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("rest").alias("rest"))))
     shared = posts.groupBy("key").agg(F.count("*").alias("many")).where("many > 1")
     posts = materialise(posts.join(shared.select("key"), "key"), "jaccard-posts")
-    similar_size = F.least("n", "m") * F.lit(den) >= F.greatest("n", "m") * F.lit(num)
+    # sizes must allow the similarity, and so must what either set can share from this key on
+    possible = (F.least("n", "m") * F.lit(den) >= F.greatest("n", "m") * F.lit(num)) & (
+        F.least("rest", "left") * F.lit(num + den) >= (F.col("n") + F.col("m")) * F.lit(num)
+    )
     roots = tested = None
     for turn in range(rounds + 1):
         placed = posts.withColumn("root", F.col("node")) if roots is None else (
             posts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         )
-        member = F.struct("node", "n", "root")
+        member = F.struct("node", "n", "rest", "root")
         if turn < rounds:
             drawn = [F.min_by(member, F.xxhash64("node", F.lit(turn * hubs + i))) for i in range(hubs)]
+            drawn += [F.max_by(member, F.struct("rest", F.xxhash64("node")))] * (turn == 0)
             held = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.array(*drawn).alias("hubs"))
             other = held.where("r0 <> r1").select("key", F.explode(F.array_distinct("hubs")).alias("o"))
-            other = other.select("key", F.col("o.node").alias("b"), F.col("o.n").alias("m"), F.col("o.root").alias("s"))
+            other = other.select("key", F.col("o.node").alias("b"), F.col("o.n").alias("m"), F.col("o.rest").alias("left"), F.col("o.root").alias("s"))
             some = placed
         else:
             parts = placed.groupBy("key", "root").agg(F.count("*").alias("size"))
             most = parts.groupBy("key").agg(F.max(F.struct("size", "root")).alias("most"), F.count("*").alias("parts"))
             most = most.where("parts > 1").select("key", F.col("most.root").alias("major"))
             some = placed.join(most, "key").where("root <> major").drop("major")
-            other = placed.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("s"))
-        met = some.join(other, (some["key"] == other["key"]) & (F.col("root") != F.col("s")) & similar_size)
+            other = placed.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("rest").alias("left"), F.col("root").alias("s"))
+        met = some.join(other, (some["key"] == other["key"]) & (F.col("root") != F.col("s")) & possible)
         pairs = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -293,7 +306,7 @@ def links(sets: DataFrame, num: int, den: int, rounds: int, hubs: int) -> DataFr
     return roots
 
 
-def join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, long: int = 500, rounds: int = 3, hubs: int = 2, per_block: int = 4096,
+def join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, long: int = 500, rounds: int = 1, hubs: int = 3,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, n_shingles, class_id, component_id, first): one row per document.
 
@@ -302,11 +315,11 @@ def join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, long: i
     component, of smallest id; `text_hash` is the xxhash64 of the text as it is.
     """
     ship(docs.sparkSession)
-    rows = materialise(read_sets(docs, width, id_col, text_col), "jaccard-rows")
+    rows = read_sets(docs, width, id_col, text_col)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
     groups = rows.where("n > 0").groupBy("same").agg(F.min("row").alias("node"), F.min("doc_id").alias("class_id"), first)
     groups = materialise(groups, "jaccard-classes")
-    roots = links(listed(rows, groups, width, num, den, long, per_block), num, den, rounds, hubs)
+    roots = links(listed(rows, groups, width, num, den, long), num, den, rounds, hubs)
     placed = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = placed.groupBy("root").agg(F.min("class_id").alias("component_id"), F.min("first").alias("first"))
     known = placed.drop("first").join(lowest, "root").select("same", "class_id", "component_id", F.col("first.row").alias("stays"))
