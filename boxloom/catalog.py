@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import boxes, corpus, mining, ranking, search
+from .plans import boxes, corpus, mining, ranking, samples, search, streams
 
-MODULES = (boxes, mining, ranking, corpus, search)
+MODULES = (boxes, mining, ranking, corpus, search, samples, streams)
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
