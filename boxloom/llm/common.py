@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import itertools
 import string
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,13 +38,52 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/boxloom/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Within it, a query's shuffle files go as soon as the query has ended, not when the driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it again: the lineage ends at files that outlive executors."""
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a block: the low bits of a row number count within it.
+BLOCK_BITS = 12
+
+
+def row_numbers() -> Iterator[int]:
+    """Numbers for the rows of this task, in order: unique over all tasks, the same if the task is run again."""
+    from pyspark import TaskContext
+
+    return itertools.count(TaskContext.get().partitionId() << 36)
+
+
+def in_blocks(df: DataFrame, name: str) -> DataFrame:
+    """Write `df`, whose `row` is from `row_numbers`, as a table bucketed by `block`, without a shuffle.
+
+    A block are the up to 4096 rows that one task read one after another. As the table is bucketed, it
+    can be grouped with other data of its blocks while only these are shuffled.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    table = f"boxloom_{path.rpartition('-')[2]}"
+    keyed = df.withColumn("block", F.shiftright("row", BLOCK_BITS))
+    with shuffles_dropped(spark):
+        keyed.write.format("parquet").bucketBy(partitions(spark), "block").option("path", path).option("compression", "zstd").saveAsTable(table)
+    return spark.table(table)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder through Hadoop, so any store works."""
     jvm = spark.sparkContext._jvm

@@ -4,7 +4,8 @@ The model is over UTF-8 bytes (digits and white space folded), of order 5, so an
 number and its suffixes and contexts are masks and shifts of it. It is trained on the trusted
 documents of all sizes and languages together; nothing of the corpus is sampled.
 
-1. Documents are dealt to blocks by id, as compressed byte strings, together with the labels.
+1. Documents are kept as compressed byte strings, in a table bucketed by the blocks that they are read
+   in, which is never shuffled; labels are joined with ids alone and come to the blocks as row numbers.
 2. Each block lists its distinct n-grams with their trusted counts, split into shards by the two bytes
    before the last. All counts that the orders 3 to 5 need of an n-gram then lie in one shard.
 3. Each shard sums the counts of all blocks. Counts of counts give the discounts; continuation counts
@@ -24,6 +25,7 @@ the id says so. Other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions, ship
+from .common import fresh, in_blocks, materialise, partitions, row_numbers, ship
 
 ORDER = 5
 SYMBOLS = 256
@@ -187,55 +189,47 @@ def gathered(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, list[np.ndarr
 # The jobs
 
 
-def dealt(docs: DataFrame, labels: DataFrame, blocks: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """(block, id, lang, body, trusted): documents as compressed bytes, and labels (body null), dealt by id."""
-    import zstandard
+def compressed(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """(block, row, id, text_hash, lang, body): documents as compressed bytes, in the blocks that they are read in."""
 
     def squeeze(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pack = zstandard.ZstdCompressor(level=1)
+        import zstandard
+
+        pack, numbers = zstandard.ZstdCompressor(level=3), row_numbers()
         for batch in batches:
             batch["body"] = [pack.compress(("" if t is None else t).encode().translate(FOLDED)) for t in batch.pop("text")]
-            yield batch[["block", "id", "lang", "body", "trusted"]]
+            batch["row"] = list(itertools.islice(numbers, len(batch)))
+            yield batch[["row", "id", "text_hash", "lang", "body"]]
 
-    ident = F.col(id_col).cast("bigint")
-    home = lambda key: F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block")
-    texts = docs.select(
-        home(F.coalesce(ident, F.xxhash64(text_col))), ident.cast("string").alias("id"), F.col(lang_col).alias("lang"),
-        F.col(text_col).alias("text"), F.lit(0).alias("trusted"),
-    )
-    schema = "block int, id string, lang string, body binary, trusted int"
-    marks = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct().select(
-        home(F.col("doc_id")), F.col("doc_id").cast("string").alias("id"), F.lit(None).cast("string").alias("lang"),
-        F.lit(None).cast("binary").alias("body"), F.lit(1).alias("trusted"),
-    )
-    return texts.mapInPandas(squeeze, schema).unionByName(marks)
+    texts = docs.select(F.col(id_col).cast("bigint").cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    return in_blocks(texts.mapInPandas(squeeze, "row bigint, id string, text_hash bigint, lang string, body binary"), "quality-blocks")
 
 
-def opened(group: pd.DataFrame, spare: int) -> tuple[pd.DataFrame, list[bytes], np.ndarray, np.ndarray]:
-    """(documents of a block in a fixed order, their bytes, which are trusted, which of these are spared)."""
+def opened(group: pd.DataFrame, trusted: np.ndarray, spare: int) -> tuple[pd.DataFrame, list[bytes], np.ndarray, np.ndarray]:
+    """(documents of a block in order, their bytes, which are trusted, which of these are spared)."""
     import zlib
 
     import zstandard
 
-    trusted = set(group["id"][group["body"].isna()])
-    docs = group[group["body"].notna()].sort_values(["id", "body"], kind="stable", na_position="first", ignore_index=True)
-    unpack = zstandard.ZstdDecompressor()
-    known = docs["id"].isin(trusted).to_numpy() & docs["id"].notna().to_numpy()
+    docs, unpack = group.sort_values("row", ignore_index=True), zstandard.ZstdDecompressor()
+    known = docs["row"].isin(trusted).to_numpy()
     spared = np.array([k and zlib.crc32(f"spare {i}".encode()) % spare == 0 for k, i in zip(known, docs["id"])], dtype=bool)
     return docs, [unpack.decompress(b) for b in docs["body"]], known, spared
 
 
-def perplexities(docs: DataFrame, labels: DataFrame, spare: int = 5, per_block: int = 4096, id_col: str = "doc_id",
-                 text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(doc_id, lang, nll, n, trusted, spared): the negative log likelihood of each document's n bytes."""
+def perplexities(docs: DataFrame, labels: DataFrame, spare: int = 5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(doc_id, text_hash, lang, nll, n, trusted, spared): the negative log likelihood of each document's n bytes."""
     spark = docs.sparkSession
     ship(spark)
-    blocks = max(1, -(-docs.count() // per_block))
-    shards = max(partitions(spark), blocks)
-    home = materialise(dealt(docs, labels, blocks, id_col, text_col, lang_col).repartition(blocks, "block"), "quality-blocks")
-
-    def ask(group: pd.DataFrame) -> pd.DataFrame:
-        _, bodies, known, spared = opened(group, spare)
+    shards = partitions(spark)
+    home = compressed(docs, id_col, text_col, lang_col)
+    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").cast("string").alias("id")).distinct()
+    marks = materialise(home.select("id", "row", "block").join(good, "id").select("block", "row"), "quality-trusted")
+
+    def ask(group: pd.DataFrame, marked: pd.DataFrame) -> pd.DataFrame:
+        if not len(group):
+            return pd.DataFrame({"shard": [], "block": [], "codes": [], "counts": []})
+        _, bodies, known, spared = opened(group, marked["row"].to_numpy(), spare)
         codes = distinct(bodies)
         counts = counted([b for b, t in zip(bodies, known & ~spared) if t], codes).astype(np.uint32)
         shard = shard_of(codes, shards)
@@ -245,8 +239,9 @@ def perplexities(docs: DataFrame, labels: DataFrame, spare: int = 5, per_block:
                 for s in range(shards) if len(o := order[cuts[s] : cuts[s + 1]])]
         return pd.DataFrame(rows, columns=["shard", "block", "codes", "counts"])
 
-    asked = home.groupBy("block").applyInPandas(ask, "shard int, block int, codes binary, counts binary")
-    asked = materialise(asked.repartition(shards, "shard"), "quality-asked")
+    by_block = home.select("block", "row", "id", "text_hash", "lang", "body").groupBy("block")
+    asked = by_block.cogroup(marks.groupBy("block")).applyInPandas(ask, "shard int, block bigint, codes binary, counts binary")
+    asked = materialise(asked, "quality-asked")
 
     def survey(group: pd.DataFrame) -> pd.DataFrame:
         codes, counts, _ = gathered(group)
@@ -272,13 +267,19 @@ def perplexities(docs: DataFrame, labels: DataFrame, spare: int = 5, per_block:
         logs = log_probabilities(codes, counts, table, d).astype(np.float32)
         return pd.DataFrame({"shard": group["shard"], "block": group["block"], "logs": [logs[np.searchsorted(codes, w)].tobytes() for w in wanted]})
 
-    answers = asked.groupBy("shard").applyInPandas(answer, "shard int, block int, logs binary")
+    answers = asked.groupBy("shard").applyInPandas(answer, "shard int, block bigint, logs binary")
+    answers = answers.select("shard", "block", "logs", F.lit(None).cast("bigint").alias("row")).unionByName(
+        marks.select(F.lit(-1).alias("shard"), "block", F.lit(None).cast("binary").alias("logs"), "row")
+    )
 
     def judge(group: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        kept, bodies, known, spared = opened(group, spare)
+        if not len(group):
+            return pd.DataFrame({"doc_id": [], "text_hash": [], "lang": [], "nll": [], "n": [], "trusted": [], "spared": []})
+        marked = replies["row"][replies["shard"] < 0].to_numpy(np.int64)
+        kept, bodies, known, spared = opened(group, marked, spare)
         codes = distinct(bodies)
         order = np.argsort(shard_of(codes, shards), kind="stable")
-        replies = replies.sort_values("shard")
+        replies = replies[replies["shard"] >= 0].sort_values("shard")
         logs = np.empty(len(codes))
         if len(codes):
             logs[order] = np.frombuffer(b"".join(replies["logs"]), np.float32)
@@ -288,12 +289,12 @@ def perplexities(docs: DataFrame, labels: DataFrame, spare: int = 5, per_block:
             running = np.concatenate([[0.0], np.cumsum(logs[places.find(each)])])
             nll.append(running[limits[:-1]] - running[limits[1:]])
         return pd.DataFrame({
-            "doc_id": kept["id"], "lang": kept["lang"], "nll": np.concatenate(nll) if nll else np.empty(0),
+            "doc_id": kept["id"], "text_hash": kept["text_hash"], "lang": kept["lang"], "nll": np.concatenate(nll) if nll else np.empty(0),
             "n": np.array([len(b) for b in bodies], np.int64), "trusted": known, "spared": spared,
         })
 
-    out = home.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        judge, "doc_id string, lang string, nll double, n bigint, trusted boolean, spared boolean"
+    out = by_block.cogroup(answers.groupBy("block")).applyInPandas(
+        judge, "doc_id string, text_hash bigint, lang string, nll double, n bigint, trusted boolean, spared boolean"
     )
     return materialise(out.withColumn("doc_id", F.col("doc_id").cast("bigint")), "quality-scores")
 
@@ -313,7 +314,7 @@ def limits(scores: DataFrame, weight: float, high: float, reach: float, least: i
 
 
 def classify(docs: DataFrame, labels: DataFrame, weight: float = 100.0, high: float = 0.95, reach: float = 3.0, least: int = 5, **how) -> DataFrame:
-    """(doc_id, lang, n, perplexity, bound, kept) for every row of `docs`; `labels` has doc_id, quality."""
+    """(doc_id, text_hash, lang, n, perplexity, bound, kept) for every row of `docs`; `labels` has doc_id, quality."""
     scores = perplexities(docs, labels, **how)
     own = limits(scores, weight, high, reach, least)
     whole = limits(scores.withColumn("lang", F.lit("")), weight, high, reach, 1).agg(F.max("mean").alias("any_mean"), F.max("bound").alias("any_bound"))
@@ -321,5 +322,15 @@ def classify(docs: DataFrame, labels: DataFrame, weight: float = 100.0, high: fl
     mean, bound = F.coalesce("mean", "any_mean"), F.coalesce("bound", "any_bound")
     shrunk = (F.col("nll") + F.lit(weight) * mean) / (F.col("n") + F.lit(weight))
     return known.select(
-        "doc_id", "lang", "n", F.exp(shrunk).alias("perplexity"), F.exp(bound).alias("bound"), F.coalesce(shrunk <= bound, F.lit(True)).alias("kept")
+        "doc_id", "text_hash", "lang", "n", F.exp(shrunk).alias("perplexity"), F.exp(bound).alias("bound"), F.coalesce(shrunk <= bound, F.lit(True)).alias("kept")
     )
+
+
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of `docs` that are kept. Rejected rows are few and are removed by (id, text hash), so copies of a text fare alike."""
+    own, key, bad_id, bad_hash = (fresh(docs, c) for c in ("_own", "_key", "_bad_id", "_bad_hash"))
+    bad = classify(docs, labels, id_col=id_col, text_col=text_col, **how).where("NOT kept")
+    bad = bad.select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
+    keyed = docs.withColumns({own: F.xxhash64(text_col), key: F.col(id_col).cast("bigint")})
+    match = (F.col(own) == F.col(bad_hash)) & F.col(key).eqNullSafe(F.col(bad_id))
+    return keyed.join(materialise(bad, "quality-rejected"), match, "left_anti").drop(own, key)
