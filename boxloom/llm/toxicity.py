@@ -261,7 +261,7 @@ def document_logits(net: Network, texts: list[str | None], most: int = 500_000)
 
 def train(sample: pd.DataFrame, odds: float = 1.0, seed: int = 11, batch: int = 256, rounds: int = 2, worst_rounds: int = 3,
           rate: float = 0.08) -> Network | None:
-    """Fit on (doc_id, toxic, window: list of words) rows; None unless both classes occur.
+    """Fit on (doc_id, toxic, window: words with blanks between) rows; None unless both classes occur.
 
     `odds`: how many clean documents there are for a toxic one in what the sample is drawn from.
     """
@@ -269,7 +269,7 @@ def train(sample: pd.DataFrame, odds: float = 1.0, seed: int = 11, batch: int =
         return None
     rng = np.random.default_rng(seed)
     net = Network()
-    features, ids, limits = factorised([list(w) for w in sample["window"]], net)
+    features, ids, limits = factorised([w.split() for w in sample["window"]], net)
     at = limits[:-1, None] + np.arange(SPAN)
     real = at < limits[1:, None]
     ids = np.append(ids, 0)[np.where(real, at, len(ids))]
@@ -323,12 +323,11 @@ def sample_windows(docs: DataFrame, labels: DataFrame, rows: int, windows: int,
                 starts = list(starts_of(len(words)))
                 if len(starts) > windows:
                     starts = [starts[i * len(starts) // windows] for i in range(windows)]
-                out += [(ident, toxic, words[s : s + SPAN]) for s in starts]
+                out += [(ident, toxic, " ".join(words[s : s + SPAN])) for s in starts]
             yield pd.DataFrame(out, columns=["doc_id", "toxic", "window"])
 
-    found = texts.mapInPandas(cut, "doc_id bigint, toxic int, window array<string>").toPandas()
-    found["key"] = found["window"].map(" ".join)
-    return found.sort_values(["doc_id", "key"], kind="stable", ignore_index=True), number.get(0, 0) / max(1, number.get(1, 0))
+    found = texts.mapInPandas(cut, "doc_id bigint, toxic int, window string").toPandas()
+    return found.sort_values(["doc_id", "window"], kind="stable", ignore_index=True), number.get(0, 0) / max(1, number.get(1, 0))
 
 
 def score(docs: DataFrame, labels: DataFrame, rows: int = 1200, windows: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
