@@ -13,7 +13,7 @@ KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(*KEY, "l_quantity", "l_extendedprice", "l_discount")
-    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber"))
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount", "l_quantity"))
     return lines.withColumn("pos", place)
 
 
@@ -132,7 +132,7 @@ QUERIES = {
 }
 
 _K = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
-_C = "WITH c AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber)::INT AS pos FROM lineitem)"
+_C = "WITH c AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_discount, l_quantity)::INT AS pos FROM lineitem)"
 _RHO = """r AS (SELECT *, rank() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_orderkey, l_extendedprice) - 1) / 2.0 AS rx,
                  rank() OVER (PARTITION BY l_orderkey ORDER BY l_discount) + (count(*) OVER (PARTITION BY l_orderkey, l_discount) - 1) / 2.0 AS ry FROM c),
         e AS (SELECT l_orderkey, count(*) AS n, CASE WHEN min(l_extendedprice) <> max(l_extendedprice) AND min(l_discount) <> max(l_discount) THEN corr(rx, ry) END AS rho

@@ -128,7 +128,7 @@ def tanimoto_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def column_gap_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order the property whose value at the dearest line stands out most from the others' mean, in deviations."""
-    key = ("l_partkey", "l_suppkey", "l_linenumber")
+    key = ("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
     nth = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(F.desc("l_extendedprice"), *key))
     props = ["l_quantity", "l_discount", "l_tax"]
     long = table(spark, sf_dir, "lineitem").withColumn("nth", nth).select("l_orderkey", "nth", *props).unpivot(["l_orderkey", "nth"], props, "name", "value")
@@ -198,7 +198,7 @@ ORACLE_SQL = {
         m AS (SELECT q.vec_id AS query_id, r.vec_id, round(bit_count(q.bits & r.bits) / bit_count(q.bits | r.bits)::DOUBLE, 6) AS share FROM b q, b r WHERE q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id)
         SELECT query_id, nth, vec_id, share FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY share DESC, vec_id)::INT AS nth FROM m) WHERE nth <= 5""",
     "column_gap_pick": """
-        WITH n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey, l_suppkey, l_linenumber) AS nth FROM lineitem),
+        WITH n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey, l_suppkey, l_linenumber, l_quantity, l_discount, l_tax) AS nth FROM lineitem),
         l AS (SELECT l_orderkey, nth, 'l_quantity' AS name, l_quantity AS v FROM n UNION ALL SELECT l_orderkey, nth, 'l_discount', l_discount FROM n UNION ALL SELECT l_orderkey, nth, 'l_tax', l_tax FROM n),
         e AS (SELECT l_orderkey, name, max(CASE WHEN nth = 1 THEN v END) AS own, avg(CASE WHEN nth > 1 THEN v END) AS others, stddev_pop(v) AS std FROM l GROUP BY 1, 2),
         z AS (SELECT l_orderkey, name, round(CASE WHEN std > 1e-12 THEN abs(own - others) / std ELSE 0 END, 6) AS z FROM e WHERE others IS NOT NULL)
