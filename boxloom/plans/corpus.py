@@ -191,13 +191,14 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def group_count_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words created and destroyed from a turn to the next, as multisets."""
-    spans = Window.partitionBy("conv_id").orderBy("turn")
-    counts = lambda c: F.aggregate(F.split(c, " "), F.create_map().cast("map<string,int>"), lambda m, w: F.map_concat(F.map_filter(m, lambda k, _: k != w), F.create_map(w, F.coalesce(F.try_element_at(m, w), F.lit(0)) + 1)))
-    letters = F.regexp_replace(F.substring("text", 1, 60), "(.)", "$1 ")
-    rows = table(spark, sf_dir, "conversations").withColumn("now", counts(F.trim(letters))).withColumn("before", F.lag("now").over(spans)).where("before IS NOT NULL")
-    change = F.map_zip_with("now", "before", lambda _, a, b: F.coalesce(a, F.lit(0)) - F.coalesce(b, F.lit(0)))
-    total = lambda sign: F.aggregate(F.map_values(change), F.lit(0), lambda s, v: s + F.greatest(v * sign, F.lit(0)))
-    return rows.select("conv_id", "turn", total(1).alias("created"), total(-1).alias("destroyed"))
+    turns = table(spark, sf_dir, "conversations").withColumn("next", F.lead("turn").over(Window.partitionBy("conv_id").orderBy("turn")))
+    counts = turns.select("conv_id", "turn", "next", F.explode(F.split("text", " ")).alias("word")).groupBy("conv_id", "turn", "next", "word").agg(F.count("*").alias("n"))
+    now = counts.select("conv_id", "turn", "word", "n")
+    before = counts.where("next IS NOT NULL").select("conv_id", F.col("next").alias("turn"), "word", F.col("n").alias("m"))
+    later = turns.where("next IS NOT NULL").select("conv_id", F.col("next").alias("turn"))
+    change = now.join(before, ["conv_id", "turn", "word"], "full").withColumn("d", F.coalesce("n", F.lit(0)) - F.coalesce("m", F.lit(0)))
+    sums = change.groupBy("conv_id", "turn").agg(F.sum(F.greatest("d", F.lit(0))).alias("created"), F.sum(F.greatest(-F.col("d"), F.lit(0))).alias("destroyed"))
+    return sums.join(later, ["conv_id", "turn"], "left_semi")
 
 
 def set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,14 +280,12 @@ ORACLE_SQL = {
         f AS (SELECT conv_id, arg_min(why, turn) FILTER (why IS NOT NULL) AS why FROM t GROUP BY 1)
         SELECT coalesce(why, 'accepted') AS reason, count(*) AS conversations FROM f GROUP BY 1""",
     "group_count_diff": """
-        WITH c AS (SELECT conv_id, turn, unnest(string_split(trim(regexp_replace(substr(text, 1, 60), '(.)', '\\1 ', 'g')), ' ')) AS w FROM conversations),
-        n AS (SELECT conv_id, turn, w, count(*) AS n FROM c GROUP BY ALL),
-        p AS (SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations),
-        d AS (SELECT p.conv_id, p.turn, coalesce(a.n, 0) - coalesce(b.n, 0) AS d
-              FROM p JOIN (SELECT DISTINCT conv_id, turn, w FROM n) k ON p.conv_id = k.conv_id AND k.turn IN (p.turn, p.before)
-              LEFT JOIN n a ON a.conv_id = p.conv_id AND a.turn = p.turn AND a.w = k.w LEFT JOIN n b ON b.conv_id = p.conv_id AND b.turn = p.before AND b.w = k.w
-              WHERE p.before IS NOT NULL GROUP BY p.conv_id, p.turn, k.w, a.n, b.n)
-        SELECT conv_id, turn, coalesce(sum(d) FILTER (d > 0), 0)::INT AS created, coalesce(-sum(d) FILTER (d < 0), 0)::INT AS destroyed FROM d GROUP BY 1, 2""",
+        WITH p AS (SELECT conv_id, turn, text, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations),
+        n AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS w FROM conversations) GROUP BY ALL),
+        k AS (SELECT DISTINCT p.conv_id, p.turn, p.before, w FROM p JOIN n ON p.conv_id = n.conv_id AND n.turn IN (p.turn, p.before) WHERE p.before IS NOT NULL),
+        d AS (SELECT k.conv_id, k.turn, coalesce(a.n, 0) - coalesce(b.n, 0) AS d
+              FROM k LEFT JOIN n a ON a.conv_id = k.conv_id AND a.turn = k.turn AND a.w = k.w LEFT JOIN n b ON b.conv_id = k.conv_id AND b.turn = k.before AND b.w = k.w)
+        SELECT conv_id, turn, sum(greatest(d, 0))::BIGINT AS created, sum(greatest(-d, 0))::BIGINT AS destroyed FROM d GROUP BY 1, 2""",
     "set_operations": """
         WITH k AS (SELECT user_id, event_type FROM events), c AS (SELECT DISTINCT user_id FROM k WHERE event_type = 'click'),
         p AS (SELECT DISTINCT user_id FROM k WHERE event_type = 'purchase'), e AS (SELECT DISTINCT user_id FROM k WHERE event_type = 'error')

@@ -40,8 +40,8 @@ def replaced_stub_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preferred_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For every 20th order a line of its own supplier nation if there is one, else its first line."""
-    lines = table(spark, sf_dir, "lineitem").where("l_orderkey % 20 = 0").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    """For every order a line of its own supplier nation if there is one, else its first line."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     own = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
     met = lines.join(own, F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
     exact = F.col("s_nationkey") == F.col("c_nationkey")
@@ -52,7 +52,7 @@ def preferred_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candidate_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line as an edit of its order's mean line: cosine with the wanted change, coverage, overshoot, helped and hurt."""
     own = Window.partitionBy("l_orderkey")
-    rows = table(spark, sf_dir, "lineitem").where("l_orderkey % 20 = 0").withColumns({
+    rows = table(spark, sf_dir, "lineitem").withColumns({
         "dq": (F.col("l_quantity") - F.avg("l_quantity").over(own)) / 14.0, "dd": (F.col("l_discount") - F.avg("l_discount").over(own)) / 0.03,
     })
     wq, wd = F.lit(1.0), F.lit(-0.5)
@@ -77,11 +77,11 @@ def union_with_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_helpers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attachment points, markers, ring digits, numbers, lists and punctuation."""
-    rows = table(spark, sf_dir, "part").where("p_partkey % 40 = 0")
+    rows = table(spark, sf_dir, "part")
     made = F.concat(F.lit("C1CC[2*:1]c"), F.col("p_size"), F.lit("[nH3]2*#note"))
     return rows.select(
         "p_partkey", text.bare_attachments(made).alias("bare"), text.cut_at(made, "#note").alias("cut"), text.ring_digits(made).alias("rings"),
-        text.number(F.col("p_retailprice") / 8).alias("price"), text.signed(F.col("p_size") - F.lit(25)).alias("change"),
+        text.number(F.col("p_retailprice") / 4).alias("price"), text.signed(F.col("p_size") - F.lit(25)).alias("change"),
         text.listed(F.slice(F.array("p_brand", "p_type", "p_name"), 1, F.pmod("p_partkey", F.lit(3)).cast("int") + 1)).alias("names"),
         text.folded(F.concat(F.lit(" “a” –  "), F.col("p_size"))).alias("plain"),
     )
@@ -89,7 +89,7 @@ def text_helpers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (catalog_lookup, embedding_row_lookup, multi_source_merge, replaced_stub_antijoin, preferred_match, candidate_features, union_with_tags, text_helpers)}
 
-_D = "(SELECT *, (l_quantity - avg(l_quantity) OVER (PARTITION BY l_orderkey)) / 14.0 AS dq, (l_discount - avg(l_discount) OVER (PARTITION BY l_orderkey)) / 0.03 AS dd FROM lineitem WHERE l_orderkey % 20 = 0)"
+_D = "(SELECT *, (l_quantity - avg(l_quantity) OVER (PARTITION BY l_orderkey)) / 14.0 AS dq, (l_discount - avg(l_discount) OVER (PARTITION BY l_orderkey)) / 0.03 AS dd FROM lineitem)"
 
 ORACLE_SQL = {
     "catalog_lookup": """
@@ -104,7 +104,7 @@ ORACLE_SQL = {
         SELECT conv_id, turn FROM m WHERE e OR n = most""",
     "preferred_match": """
         SELECT l_orderkey, l_partkey, l_suppkey, s_nationkey = c_nationkey AS exact
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_orderkey % 20 = 0
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
         QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY (s_nationkey = c_nationkey) DESC, l_linenumber, l_partkey, l_suppkey) = 1""",
     "candidate_features": f"""
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
@@ -116,7 +116,7 @@ ORACLE_SQL = {
         UNION ALL SELECT 1, NULL, count(*), max(item_id) FROM benchmark""",
     "text_helpers": """
         SELECT p_partkey, 'C1CC*c' || p_size || '[nH3]2*#note' AS bare, 'C1CC[2*:1]c' || p_size || '[nH3]2*' AS cut, '1' || p_size || '2' AS rings,
-               regexp_replace(printf('%.3f', p_retailprice / 8), '\\.?0+$', '') AS price, CASE WHEN p_size > 25 THEN '+' ELSE '' END || (p_size - 25) AS change,
+               regexp_replace(printf('%.3f', p_retailprice / 4), '\\.?0+$', '') AS price, CASE WHEN p_size > 25 THEN '+' ELSE '' END || (p_size - 25) AS change,
                CASE p_partkey % 3 WHEN 0 THEN p_brand WHEN 1 THEN p_brand || ' and ' || p_type ELSE p_brand || ', ' || p_type || ' and ' || p_name END AS names,
-               '"a" - ' || p_size AS plain FROM part WHERE p_partkey % 40 = 0""",
+               '"a" - ' || p_size AS plain FROM part""",
 }

@@ -36,10 +36,10 @@ def rule_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deepest_context_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The change expected for 20 states, by the most specific rule that fits."""
+    """The change expected of every transform at every part, by the most specific rule that fits."""
     contexts = {0: F.lit(""), 1: F.col("p_brand")}
     found = pairs.ladder(_pairs(spark, sf_dir), ["from", "to"], contexts, least=40, top=30)
-    asked = table(spark, sf_dir, "part").where("p_partkey % 97 = 0").select(F.col("p_partkey").alias("wanted_key"), F.col("p_brand").alias("wanted_context"))
+    asked = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("wanted_key"), F.col("p_brand").alias("wanted_context"))
     best = pairs.deepest(found, asked.crossJoin(found.select("from", "to").distinct()), ["from", "to"])
     return best.select("wanted_key", "from", "to", "radius", "support", (F.round("avg", 4) + 0.0).alias("avg"))
 
@@ -93,7 +93,7 @@ ORACLE_SQL = {
     "rule_ladder": f"""{_PAIRS_SQL},{_LADDER_SQL.format(top=10, least=5, levels="(0, ''), (1, p_brand), (2, p_brand || '|' || p_type)")}
         SELECT "from", "to", radius, context, support, round(avg, 4) + 0.0 AS avg, round(std, 4) AS std FROM l""",
     "deepest_context_lookup": f"""{_PAIRS_SQL},{_LADDER_SQL.format(top=30, least=40, levels="(0, ''), (1, p_brand)")},
-        w AS (SELECT p_partkey AS wanted_key, p_brand AS wanted_context FROM part WHERE p_partkey % 97 = 0)
+        w AS (SELECT p_partkey AS wanted_key, p_brand AS wanted_context FROM part)
         SELECT wanted_key, "from", "to", radius, support, round(avg, 4) + 0.0 AS avg FROM w, l WHERE radius = 0 OR context = wanted_context
         QUALIFY row_number() OVER (PARTITION BY wanted_key, "from", "to" ORDER BY radius DESC, support DESC) = 1""",
     "attach_library": f"""{_PAIRS_SQL}

@@ -91,8 +91,7 @@ def quota_admission_relaxed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def instance_sampler(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pool = table(spark, sf_dir, "part").where("p_partkey % 20 = 0")
-    return samples.instances(pool, "p_partkey", ["p_size"], {"p_retailprice": 1}, seed=5)
+    return samples.instances(table(spark, sf_dir, "part"), "p_partkey", ["p_size"], {"p_retailprice": 1}, seed=5)
 
 
 def dense_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +101,7 @@ def dense_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda _, v: v.isNotNull(),
     )
     value, mask = samples.dense(feats, ["disc", "qty", "tax", "absent"])
-    rows = table(spark, sf_dir, "lineitem").where("l_orderkey % 50 = 0")
+    rows = table(spark, sf_dir, "lineitem")
     key = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     return rows.select(*key, F.concat_ws(",", F.transform(value, lambda v: F.round(v * 100).cast("bigint").cast("string"))).alias("value"), F.concat_ws("", mask.cast("array<string>")).alias("mask"))
 
@@ -154,7 +153,7 @@ _M = "('0x' || substr(md5({0}), 1, 8))::BIGINT / 4294967296.0"
 def _sampler_sql() -> str:
     draw = lambda what: _M.format(f"'5:' || p_partkey || ':{what}'")
     return f"""
-        WITH p AS (SELECT *, {draw("mode p_size")} AS m, {draw("width p_retailprice")} AS w, {draw("take p_size")} AS u1, {draw("take p_retailprice")} AS u2 FROM part WHERE p_partkey % 20 = 0),
+        WITH p AS (SELECT *, {draw("mode p_size")} AS m, {draw("width p_retailprice")} AS w, {draw("take p_size")} AS u1, {draw("take p_retailprice")} AS u2 FROM part),
         b AS (SELECT p_partkey AS id, 'p_size' AS property, CASE WHEN m < 1/3.0::DOUBLE THEN p_size - 2.0 ELSE p_size END::DOUBLE AS lo,
                      CASE WHEN m < 1/3.0::DOUBLE THEN p_size + 2.0 WHEN m < 2/3.0::DOUBLE THEN p_size END::DOUBLE AS hi, u1 AS u FROM p
               UNION ALL SELECT p_partkey, 'p_retailprice', floor(p_retailprice * (1 - 0.1 * (w + 0.5)) * 10.0) / 10.0, ceil(p_retailprice * (1 + 0.1 * (w + 0.5)) * 10.0) / 10.0, u2 FROM p)
@@ -190,7 +189,7 @@ ORACLE_SQL = {
     "dense_encode": """
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
                concat_ws(',', round(l_discount * 100)::BIGINT, round(l_quantity * 100)::BIGINT, CASE WHEN l_partkey % 5 <> 0 THEN round(l_tax * 100)::BIGINT ELSE 0 END, 0) AS value,
-               '11' || (l_partkey % 5 <> 0)::INT || '0' AS mask FROM lineitem WHERE l_orderkey % 50 = 0""",
+               '11' || (l_partkey % 5 <> 0)::INT || '0' AS mask FROM lineitem""",
     "constant_columns": "WITH " + "e AS (" + " UNION ALL ".join(f"SELECT l_orderkey, '{c}' AS name, max({c}) - min({c}) AS spread FROM lineitem GROUP BY 1" for c in _PROPS)
         + ") SELECT name, count(*) AS orders, round(avg(spread), 4) AS spread FROM e WHERE spread > 1e-9 GROUP BY 1",
     "tanimoto_topk": """
