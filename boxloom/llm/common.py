@@ -33,9 +33,34 @@ def shared_dir(spark: SparkSession) -> str:
     return root if "://" in root else f"file://{root}"
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/boxloom/{name}-{uuid.uuid4().hex}"
+_PASSING: list[list[str]] = []
+
+
+def scratch(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new path in the shared folder; within `passing` it goes with the rest, unless it is to be kept."""
+    path = f"{shared_dir(spark)}/boxloom/{name}-{uuid.uuid4().hex}"
+    if _PASSING and not keep:
+        _PASSING[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def passing(spark: SparkSession):
+    """Within it, what is written to the shared folder is deleted at the end, but for what is kept.
+
+    For intermediate tables of a result that has itself been written: nothing reads them any more.
+    """
+    _PASSING.append([])
+    try:
+        yield
+    finally:
+        for path in _PASSING.pop():
+            spark.sql(f"DROP TABLE IF EXISTS {table_name(path)}")
+            remove(spark, path)
+
+
+def table_name(path: str) -> str:
+    return f"boxloom_{path.rpartition('-')[2]}"
 
 
 @contextlib.contextmanager
@@ -50,9 +75,9 @@ def shuffles_dropped(spark: SparkSession):
         spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write `df` to the shared folder and read it again: the lineage ends at files that outlive executors."""
-    path = scratch(df.sparkSession, name)
+    path = scratch(df.sparkSession, name, keep)
     with shuffles_dropped(df.sparkSession):
         df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -77,7 +102,7 @@ def in_blocks(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    table = f"boxloom_{path.rpartition('-')[2]}"
+    table = table_name(path)
     keyed = df.withColumn("block", F.shiftright("row", BLOCK_BITS))
     with shuffles_dropped(spark):
         keyed.write.format("parquet").bucketBy(partitions(spark), "block").option("path", path).option("compression", "zstd").saveAsTable(table)

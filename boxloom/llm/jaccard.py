@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BITS, fresh, in_blocks, materialise, partitions, row_numbers, ship
+from .common import BLOCK_BITS, fresh, in_blocks, materialise, partitions, passing, row_numbers, ship
 
 BLANK = np.zeros(256, bool)
 BLANK[[32, *range(9, 14)]] = True
@@ -334,7 +334,9 @@ def join(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, long: i
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of `docs` that stay when one document of each component does; of rows that repeat id and text one stays."""
     own, key, copy, kept_id, kept_hash = (fresh(docs, c) for c in ("_own", "_key", "_copy", "_kept_id", "_kept_hash"))
-    kept = join(docs, id_col=id_col, text_col=text_col, **how).where("first").select(F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash))
+    with passing(docs.sparkSession):
+        kept = join(docs, id_col=id_col, text_col=text_col, **how).where("first")
+        kept = materialise(kept.select(F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash)), "jaccard-kept", keep=True)
     keyed = docs.withColumn(own, F.xxhash64(text_col)).withColumn(key, F.col(id_col).cast("bigint"))
     found = keyed.join(kept, (F.col(own) == F.col(kept_hash)) & F.col(key).eqNullSafe(F.col(kept_id)), "left_semi")
     nth = F.row_number().over(Window.partitionBy(own, key).orderBy(key))

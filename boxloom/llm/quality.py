@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, in_blocks, materialise, partitions, row_numbers, ship
+from .common import fresh, in_blocks, materialise, partitions, passing, row_numbers, ship
 
 ORDER = 5
 SYMBOLS = 256
@@ -329,8 +329,10 @@ def classify(docs: DataFrame, labels: DataFrame, weight: float = 100.0, high: fl
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of `docs` that are kept. Rejected rows are few and are removed by (id, text hash), so copies of a text fare alike."""
     own, key, bad_id, bad_hash = (fresh(docs, c) for c in ("_own", "_key", "_bad_id", "_bad_hash"))
-    bad = classify(docs, labels, id_col=id_col, text_col=text_col, **how).where("NOT kept")
-    bad = bad.select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
+    with passing(docs.sparkSession):
+        bad = classify(docs, labels, id_col=id_col, text_col=text_col, **how).where("NOT kept")
+        bad = bad.select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
+        bad = materialise(bad, "quality-rejected", keep=True)
     keyed = docs.withColumns({own: F.xxhash64(text_col), key: F.col(id_col).cast("bigint")})
     match = (F.col(own) == F.col(bad_hash)) & F.col(key).eqNullSafe(F.col(bad_id))
-    return keyed.join(materialise(bad, "quality-rejected"), match, "left_anti").drop(own, key)
+    return keyed.join(bad, match, "left_anti").drop(own, key)
