@@ -11,9 +11,10 @@ document's label (windows of clean documents are surely clean), then, of a toxic
 windows that the network itself finds toxic, its worst at least. A part of the training documents is
 held back to place the decision at 0.5.
 
-Fitting uses a bounded sample: at most `rows` labelled documents of each class (those of smallest
-hash) and `windows` windows of each, evenly spread. Scoring covers all windows of all documents, one
-Arrow batch at a time.
+Fitting uses a bounded sample of whole documents: at most `rows` labelled ones of each class, in order
+of hash, of which those are left out that would take the class above `most` windows. All windows of a
+sampled document are learned from and count for the decision, as all windows of all documents are
+scored, one Arrow batch at a time.
 
 Defined results: null and empty texts have the score of an empty window, below 0.5. Several labels of
 one document count as toxic if any is. Without labels of both classes every score is 0. Repeated rows
@@ -30,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import materialise, passing, ship
 
 WORDS = re.compile(r"\w+")
 SPAN, STRIDE = 32, 24
@@ -316,8 +317,20 @@ def cutoff(docs: pd.DataFrame, odds: float) -> float:
     return float(np.median(cuts[wrong <= wrong.min() + 1e-9]))
 
 
-def sample_windows(docs: DataFrame, labels: DataFrame, rows: int, windows: int, id_col: str, text_col: str) -> tuple[pd.DataFrame, float]:
-    """(sample, odds). Bounded: at most `rows` documents of each class, `windows` windows of each document."""
+def fitting(sizes: pd.DataFrame, most: int) -> list[int]:
+    """Documents (doc_id, toxic, windows, in order of hash) of each class that together have at most `most` windows."""
+    out = []
+    for _, docs in sizes.groupby("toxic"):
+        left = most
+        for ident, windows in zip(docs["doc_id"], docs["windows"]):
+            if windows <= left:
+                out.append(int(ident))
+                left -= windows
+    return out
+
+
+def sample_windows(docs: DataFrame, labels: DataFrame, rows: int, most: int, id_col: str, text_col: str) -> tuple[pd.DataFrame, float]:
+    """(sample, odds). Whole documents: at most `rows` of each class, with at most `most` windows together."""
     marks = labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic")).where("toxic IS NOT NULL AND doc_id IS NOT NULL")
     number = {r[0]: r[1] for r in marks.groupBy("toxic").count().collect()}
     picked = [marks.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for c in (0, 1)]
@@ -326,24 +339,27 @@ def sample_windows(docs: DataFrame, labels: DataFrame, rows: int, windows: int,
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
             for ident, text, toxic in batch.itertuples(index=False, name=None):
                 words = words_of(text)
-                starts = list(starts_of(len(words)))
-                if len(starts) > windows:
-                    starts = [starts[i * len(starts) // windows] for i in range(windows)]
-                out += [(ident, toxic, " ".join(words[s : s + SPAN])) for s in starts]
-            yield pd.DataFrame(out, columns=["doc_id", "toxic", "window"])
-
-    found = texts.mapInPandas(cut, "doc_id bigint, toxic int, window string").toPandas()
+                spans = [" ".join(words[s : s + SPAN]) for s in starts_of(len(words))]
+                for i in range(0, len(spans), 10_000):
+                    yield pd.DataFrame({"doc_id": ident, "toxic": toxic, "window": spans[i : i + 10_000]})
+
+    with passing(docs.sparkSession):
+        found = materialise(texts.mapInPandas(cut, "doc_id bigint, toxic int, window string"), "toxicity-windows")
+        sizes = found.groupBy("doc_id", "toxic").agg(F.count("*").alias("windows")).orderBy(F.xxhash64("doc_id"), "doc_id").toPandas()
+        chosen = fitting(sizes, most)
+        if len(chosen) < len(sizes):
+            found = found.where(F.col("doc_id").isin(chosen))
+        found = found.toPandas()
     return found.sort_values(["doc_id", "window"], kind="stable", ignore_index=True), number.get(0, 0) / max(1, number.get(1, 0))
 
 
-def score(docs: DataFrame, labels: DataFrame, rows: int = 1200, windows: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, rows: int = 1200, most: int = 100_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) for every row of `docs`; `labels` (doc_id, toxic) are what may be learned from."""
     spark = docs.sparkSession
     ship(spark)
-    net = train(*sample_windows(docs, labels, rows, windows, id_col, text_col))
+    net = train(*sample_windows(docs, labels, rows, most, id_col, text_col))
     if net is not None:
         net.g2 = {}  # what only training needs stays here
     sent = spark.sparkContext.broadcast(net)

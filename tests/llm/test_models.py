@@ -74,6 +74,18 @@ def test_windows_cover_and_overlap():
         assert all(b - a < toxicity.SPAN for a, b in zip(starts, starts[1:]))
 
 
+def test_long_texts_are_sampled_whole(spark):
+    """Every window of a sampled document is learned from; only whole documents are left out."""
+    rows = [(1, "a " * 5000 + "zxq " + "b " * 5000, 1), (2, "c " * 4000, 0), (3, "d " * 40, 0), (4, None, 0)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    whole = {i: len(toxicity.starts_of(len(toxicity.words_of(t)))) for i, t, _ in rows}
+    sample, odds = toxicity.sample_windows(docs, labels, 10, 1000, "doc_id", "text")
+    assert odds == 3 and sample.groupby("doc_id").size().to_dict() == whole and sample["window"].str.contains("zxq").any()
+    sample, _ = toxicity.sample_windows(docs, labels, 10, 100, "doc_id", "text")
+    assert sample.groupby("doc_id").size().to_dict() == {3: whole[3], 4: whole[4]}
+
+
 def test_one_class_gives_zero(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     assert toxicity.score(docs, spark.createDataFrame([(1, 0)], "doc_id long, toxic int")).first().score == 0.0
