@@ -13,9 +13,10 @@ documents of all sizes and languages together; nothing of the corpus is sampled.
 4. Each shard joins the n-grams that blocks ask for with its counts and sends every block the log
    probabilities, in the order asked; blocks look them up and sum them per document.
 
-Of the trusted documents `1 / spare` (by hash) are not trained on: their perplexities, shrunk towards
-their language's mean by `weight` bytes so that short texts are not judged by chance, give each
-language's limit from its quantiles. Documents above the limit are rejected.
+Of the trusted texts `1 / spare` (by hash of the folded text, so with all copies) are not trained on:
+their perplexities, shrunk towards their language's mean by `weight` bytes so that short texts are not
+judged by chance, give each language's limit, their `high` quantile, in which each distinct text counts
+once. Documents above the limit are rejected.
 
 Defined results: null and empty texts have their language's mean and stay. A null language is one of
 its own. Languages with fewer than `least` spared documents use the limit of all. Without trusted
@@ -25,6 +26,7 @@ the id says so. Other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 from collections.abc import Iterator
 
@@ -205,20 +207,24 @@ def compressed(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Da
     return in_blocks(texts.mapInPandas(squeeze, "row bigint, id string, text_hash bigint, lang string, body binary"), "quality-blocks")
 
 
+def body_hash(body: bytes) -> int:
+    """64 bits that are the same for all copies of a text."""
+    return int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "big", signed=True)
+
+
 def opened(group: pd.DataFrame, trusted: np.ndarray, spare: int) -> tuple[pd.DataFrame, list[bytes], np.ndarray, np.ndarray]:
     """(documents of a block in order, their bytes, which are trusted, which of these are spared)."""
-    import zlib
-
     import zstandard
 
     docs, unpack = group.sort_values("row", ignore_index=True), zstandard.ZstdDecompressor()
     known = docs["row"].isin(trusted).to_numpy()
-    spared = np.array([k and zlib.crc32(f"spare {i}".encode()) % spare == 0 for k, i in zip(known, docs["id"])], dtype=bool)
-    return docs, [unpack.decompress(b) for b in docs["body"]], known, spared
+    bodies = [unpack.decompress(b) for b in docs["body"]]
+    docs["body_hash"] = np.array([body_hash(b) if k else 0 for k, b in zip(known, bodies)], dtype=np.int64)
+    return docs, bodies, known, known & (docs["body_hash"].to_numpy() % spare == 0)
 
 
 def perplexities(docs: DataFrame, labels: DataFrame, spare: int = 5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(doc_id, text_hash, lang, nll, n, trusted, spared): the negative log likelihood of each document's n bytes."""
+    """(doc_id, text_hash, body_hash, lang, nll, n, trusted, spared): the negative log likelihood of each document's n bytes; body_hash is 0 unless trusted."""
     spark = docs.sparkSession
     ship(spark)
     shards = partitions(spark)
@@ -274,7 +280,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, spare: int = 5, id_col: str
 
     def judge(group: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         if not len(group):
-            return pd.DataFrame({"doc_id": [], "text_hash": [], "lang": [], "nll": [], "n": [], "trusted": [], "spared": []})
+            return pd.DataFrame({"doc_id": [], "text_hash": [], "body_hash": [], "lang": [], "nll": [], "n": [], "trusted": [], "spared": []})
         marked = replies["row"][replies["shard"] < 0].to_numpy(np.int64)
         kept, bodies, known, spared = opened(group, marked, spare)
         codes = distinct(bodies)
@@ -289,35 +295,34 @@ def perplexities(docs: DataFrame, labels: DataFrame, spare: int = 5, id_col: str
             running = np.concatenate([[0.0], np.cumsum(logs[places.find(each)])])
             nll.append(running[limits[:-1]] - running[limits[1:]])
         return pd.DataFrame({
-            "doc_id": kept["id"], "text_hash": kept["text_hash"], "lang": kept["lang"], "nll": np.concatenate(nll) if nll else np.empty(0),
+            "doc_id": kept["id"], "text_hash": kept["text_hash"], "body_hash": kept["body_hash"], "lang": kept["lang"], "nll": np.concatenate(nll) if nll else np.empty(0),
             "n": np.array([len(b) for b in bodies], np.int64), "trusted": known, "spared": spared,
         })
 
     out = by_block.cogroup(answers.groupBy("block")).applyInPandas(
-        judge, "doc_id string, text_hash bigint, lang string, nll double, n bigint, trusted boolean, spared boolean"
+        judge, "doc_id string, text_hash bigint, body_hash bigint, lang string, nll double, n bigint, trusted boolean, spared boolean"
     )
     return materialise(out.withColumn("doc_id", F.col("doc_id").cast("bigint")), "quality-scores")
 
 
-def limits(scores: DataFrame, weight: float, high: float, reach: float, least: int) -> DataFrame:
+def limits(scores: DataFrame, weight: float, high: float, least: int) -> DataFrame:
     """(lang, mean, bound): per language the mean log perplexity and the limit, with a row for all languages (lang null, whole)."""
     shrunk = (F.col("nll") + F.lit(weight) * F.col("mean")) / (F.col("n") + F.lit(weight))
-    spared = scores.where("spared AND n > 0")
     key = F.coalesce("lang", F.lit(""))
+    spared = scores.where("spared AND n > 0").groupBy(key.alias("lang"), "body_hash").agg(F.min("nll").alias("nll"), F.first("n").alias("n"))
     means = spared.groupBy(key.alias("key")).agg((F.sum("nll") / F.sum("n")).alias("mean"))
-    middle = F.percentile_approx(shrunk, 0.5, 10000)
-    bound = middle + F.lit(reach) * (F.percentile_approx(shrunk, high, 10000) - middle)
+    bound = F.percentile_approx(shrunk, high, 10000)
     return (
         spared.withColumn("key", key).join(means, "key").groupBy("key", "mean")
         .agg(bound.alias("bound"), F.count("*").alias("spared")).where(F.col("spared") >= least)
     )
 
 
-def classify(docs: DataFrame, labels: DataFrame, weight: float = 100.0, high: float = 0.95, reach: float = 3.0, least: int = 5, **how) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, weight: float = 100.0, high: float = 0.99, least: int = 5, **how) -> DataFrame:
     """(doc_id, text_hash, lang, n, perplexity, bound, kept) for every row of `docs`; `labels` has doc_id, quality."""
     scores = perplexities(docs, labels, **how)
-    own = limits(scores, weight, high, reach, least)
-    whole = limits(scores.withColumn("lang", F.lit("")), weight, high, reach, 1).agg(F.max("mean").alias("any_mean"), F.max("bound").alias("any_bound"))
+    own = limits(scores, weight, high, least)
+    whole = limits(scores.withColumn("lang", F.lit("")), weight, high, 1).agg(F.max("mean").alias("any_mean"), F.max("bound").alias("any_bound"))
     known = scores.withColumn("key", F.coalesce("lang", F.lit(""))).join(own, "key", "left").crossJoin(F.broadcast(whole))
     mean, bound = F.coalesce("mean", "any_mean"), F.coalesce("bound", "any_bound")
     shrunk = (F.col("nll") + F.lit(weight) * mean) / (F.col("n") + F.lit(weight))

@@ -162,3 +162,15 @@ def test_without_trusted_text_all_stay(spark, judged):
     _, docs, labels = judged
     assert quality.accepted(docs, labels.limit(0)).count() == docs.count()
     assert quality.accepted(docs.limit(0), labels).count() == 0
+
+
+def test_copies_are_spared_together_and_count_once(spark):
+    texts = [(i, t) for i, t in prose(40, 5)] + [(100 + i, f"copy {i % 2} of a text that is often met") for i in range(40)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in texts], "doc_id long, text string, lang string").repartition(3)
+    scores = quality.perplexities(docs, spark.createDataFrame([(i, 1) for i, _ in texts], "doc_id long, quality int"))
+    copies = {r.spared for r in scores.where("doc_id >= 100").collect()}
+    assert len(copies) == 1  # equal but for a digit, which the model doesn't see
+    rows = [("en", 1, 50.0, 100, True)] * 500 + [("en", 2 + i, 200.0 + i, 100, True) for i in range(10)]
+    made = spark.createDataFrame(rows, "lang string, body_hash long, nll double, n long, spared boolean")
+    bound = quality.limits(made, 0.0, 0.5, 1).first()
+    assert bound.spared == 11 and bound.bound == pytest.approx(2.04)
