@@ -1,15 +1,16 @@
 """URL filters: a template tree per host, learned from labelled pages, and explicit rules that overrule it.
 
-A path's segments are walked level by level. At each node (host and template so far) a segment value
-seen in too small a share of the node's pages is variable and becomes the wildcard `*`. The other
-branches are compared with the rest of their node: where the labelled purity of a branch does not
-differ significantly (two-proportion z-test on smoothed counts), it is merged into the wildcard too.
-What lies below `depth` levels becomes `**`. A template is rejected when its share of good labelled
+A path's segments are walked level by level. At each node (host and template so far) a branch stays
+apart if its labels tell it from the rest of the node, however few of the pages it has: by a likelihood
+ratio test whose limit grows with the number of branches tested at the level. Where labels are too few
+for that, a branch with at least `share` of the node's pages stays if a two-proportion z-test on smoothed
+counts finds it different. All others are merged into the wildcard `*`. Below `depth` levels only
+that first test is made, for as long as any node's labels could pass it; what lies below the last branch
+kept becomes `**`. A template is rejected when its share of good labelled
 pages, smoothed towards its host's and that towards the whole corpus', is below `purity`.
 
 All of it is aggregation and equi-joins: counts are taken before the shuffle, so a host with a third
-of all pages costs a few partial rows a task, and no window gathers a host's pages. The table of
-fixed branches has at most 1 / `share` rows a node.
+of all pages costs a few partial rows a task, and no window gathers a host's pages.
 
 Defined results: a null url, or one without `://`, has an empty host and path, and belongs to the
 empty template of the empty host. Repeated pages count as often as they occur. Several labels of one
@@ -50,28 +51,55 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...]) -> t
     return tuple(F.coalesce(*[F.when(test, F.lit(x[i])) for test, *x in fits]) for i in (0, 1))
 
 
+def surprise(pairs: list[tuple[str, str]]) -> Column:
+    """Twice the sum of o x ln(o / e) over (o, e) of SQL expressions: the likelihood ratio statistic."""
+    return F.lit(2.0) * sum((F.when(F.expr(o) > 0, F.expr(f"({o}) * ln(({o}) / nullif({e}, 0))")).otherwise(F.lit(0.0)) for o, e in pairs), F.lit(0.0))
+
+
+#: Good and bad labels of a branch and of the rest of its node, each with what the node's purity leads to expect.
+AGAINST_REST = [
+    ("g", "m * (node_g / double(node_m))"),
+    ("m - g", "m * ((node_m - node_g) / double(node_m))"),
+    ("node_g - g", "(node_m - m) * (node_g / double(node_m))"),
+    ("node_m - node_g - (m - g)", "(node_m - m) * ((node_m - node_g) / double(node_m))"),
+]
+
+
 def templates(rows: DataFrame, depth: int, share: float, z: float) -> DataFrame:
     """`rows` (host, segments, good: 1, 0 or null) with `template`, level by level."""
     rows = rows.withColumn("template", F.lit(""))
     seen = [F.count("*").alias("n"), F.count("good").alias("m"), F.coalesce(F.sum("good"), F.lit(0)).alias("g")]
-    for level in range(depth):
+    level = 0
+    while level < depth or divisible(rows, level, z):
         rows = rows.withColumn("segment", F.get("segments", F.lit(level)))
         branches = rows.where("segment IS NOT NULL").groupBy("host", "template", "segment").agg(*seen)
-        nodes = branches.groupBy("host", "template").agg(*(F.sum(c).alias(f"node_{c}") for c in "nmg"))
+        nodes = branches.groupBy("host", "template").agg(*(F.sum(c).alias(f"node_{c}") for c in "nmg"), F.count_if(F.col("m") > 0).alias("tested"))
+        tests = nodes.agg(F.greatest(F.sum("tested"), F.lit(2)).alias("tests"))
         p, q = F.expr("(g + 1) / (m + 2)"), F.expr("(node_g - g + 1) / (node_m - m + 2)")
         both = F.expr("(node_g + 2) / (node_m + 4)")
         apart = F.abs(p - q) / F.sqrt(both * (1 - both) * F.expr("1 / (m + 2) + 1 / (node_m - m + 2)"))
+        told = (F.col("node_m") > 0) & (surprise(AGAINST_REST) >= F.lit(z * z) + 2 * F.ln("tests"))
+        common = (F.col("n") >= F.lit(share) * F.col("node_n")) & (apart >= F.lit(z))
         fixed = (
-            branches.join(nodes, ["host", "template"])
-            .where((F.col("n") >= F.lit(share) * F.col("node_n")) & (apart >= F.lit(z)))
+            branches.join(nodes, ["host", "template"]).crossJoin(F.broadcast(tests))
+            .where(told | common if level < depth else told)
             .select("host", "template", "segment", F.lit(True).alias("fixed"))
-        )
+        )
         name = F.when(F.col("fixed"), F.col("segment")).otherwise(F.lit("*"))
         grown = F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), name))
         rows = rows.join(fixed, ["host", "template", "segment"], "left").withColumn("template", grown).drop("fixed", "segment")
         rows = materialise(rows, f"url-level{level}")
-    deeper = F.size("segments") > depth
-    return rows.withColumn("template", F.when(deeper, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
+        level += 1
+    last = F.regexp_replace("template", rf"(?s)\A((?:/[^/]*){{{depth}}}.*?)(?:/\*)*\z", "$1")  # wildcards below `depth` and the last branch
+    deeper = F.size("segments") > F.size(F.split(last, "/")) - 1
+    return rows.withColumn("template", F.when(F.size("segments") > depth, F.concat(last, F.when(deeper, F.lit("/**")).otherwise(F.lit("")))).otherwise(F.col("template")))
+
+
+def divisible(rows: DataFrame, level: int, z: float) -> bool:
+    """Whether labels of any node's pages that go on below `level` could tell a branch, were it to part them wholly."""
+    nodes = rows.where((F.size("segments") > level) & F.col("good").isNotNull()).groupBy("host", "template").agg(F.count("good").alias("m"), F.sum("good").alias("g"))
+    parted = surprise([("g", "g * (g / double(m))"), ("m - g", "(m - g) * ((m - g) / double(m))")])
+    return not nodes.where(parted >= F.lit(z * z) + 2 * F.ln(F.lit(2))).isEmpty()
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, depth: int = 3, share: float = 0.05,

@@ -39,6 +39,17 @@ def test_templates(spark):
     assert url_filter.judge(spark.createDataFrame([], PAGES), labels).count() == 0
 
 
+def test_small_and_deep_branches_with_evidence_stay_apart(spark):
+    """A bad section with 2 % of a host's pages, and one at the fifth level, are blocked; the rest is not."""
+    rows = [(i, f"http://h/s{i % 50}/{i}") for i in range(3000)]
+    rows += [(9000 + i, f"http://g/a/b/c/d/{'bad' if i % 4 == 0 else 'fine'}/{i}/x") for i in range(400)]
+    bad = {i for i, _ in rows if i < 3000 and i % 50 == 7 or i >= 9000 and i % 4 == 0}
+    labels = spark.createDataFrame([(i, int(i not in bad), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    found = url_filter.judge(spark.createDataFrame([(i, u, "") for i, u in rows], PAGES), labels, rules=(("block", "none/"),)).collect()
+    assert {r.page_id for r in found if r.verdict == "block"} == bad
+    assert any(r.template == "/s7/*" for r in found) and any(r.template.endswith("/bad/**") for r in found)
+
+
 MIX = "doc_id long, text string, lang string, source string, tokens string, quota string"
 
 
