@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from .common import scratch, ship
 
 CHUNK = 1 << 20
-HEADER_LIMIT = 1 << 16
 VERSION = b"WARC/1."
 MAGIC = b"\x1f\x8b\x08"
 DATE = "2020-01-01T00:00:00Z"
@@ -141,13 +140,27 @@ class Window:
         return self.held[start - self.at : start - self.at + count]
 
 
+def header_end(data: bytes, start: int, ended: bool = True) -> int:
+    """Where the blank line after the header at `start` stands, however long that is; -1 if more data must tell."""
+    at = start
+    while True:
+        stop = data.find(b"\r\n", at)
+        if stop < 0:
+            if ended:
+                raise ValueError("header not ended")
+            return -1
+        if stop == at:
+            return at - 2
+        if at > start and data[at] not in b" \t" and data.find(b":", at, stop) < 0:
+            raise ValueError("header not ended")
+        at = stop + 2
+
+
 def parse(data: bytes, start: int) -> tuple[dict, bytes, int]:
     """(headers, block, end) of the record at `start`; ValueError says which check failed."""
     if not data.startswith(VERSION, start):
         raise ValueError("no version line")
-    stop = data.find(b"\r\n\r\n", start, start + HEADER_LIMIT)
-    if stop < 0:
-        raise ValueError("header not ended")
+    stop = header_end(data, start)
     lines = data[start:stop].split(b"\r\n")[1:]
     head = {k.strip().lower().decode("latin-1"): v.strip().decode("utf-8", "replace") for k, _, v in (x.partition(b":") for x in lines)}
     if not head.get("content-length", "").isdigit():
@@ -206,11 +219,13 @@ def take(view: Window, at: int) -> tuple[list[dict], int]:
             head, block, pos = parse(data, pos)
             rows.append(describe(head, block))
         return rows, end
-    head = view.read(at, HEADER_LIMIT)
-    if not head.startswith(VERSION):
+    if view.read(at, len(VERSION)) != VERSION:
         raise ValueError("neither member nor version line")
-    length = re.search(rb"(?im)^content-length:\s*(\d+)\r$", head.partition(b"\r\n\r\n")[0] + b"\r")
-    need = len(head.partition(b"\r\n\r\n")[0]) + 8 + (int(length[1]) if length else 0)
+    much = 1 << 16
+    while (stop := header_end(view.read(at, much), 0, at + much >= view.size)) < 0:
+        much *= 2
+    length = re.search(rb"(?im)^content-length:\s*(\d+)\r$", view.read(at, stop) + b"\r")
+    need = stop + 8 + (int(length[1]) if length else 0)
     head, block, end = parse(view.read(at, need), 0)
     return [describe(head, block)], at + end
 
@@ -285,4 +300,5 @@ def round_trip(spark: SparkSession, pages: DataFrame, least: int = 1000) -> Data
     """Write `pages` as archives and read them back: one row per page."""
     manifest = write_archives(pages, scratch(spark, "warc"), least)
     files = manifest.repartition(max(1, spark.sparkContext.defaultParallelism * 4), "file")
-    return read_archives(files, with_payload=False).where("gap IS NULL")
+    lost = F.raise_error(F.concat(F.lit("own archive has a gap: "), F.col("file"), F.lit(": "), F.col("gap"))).cast("boolean")
+    return read_archives(files, with_payload=False).where(F.when(F.col("gap").isNull(), F.lit(True)).otherwise(lost))

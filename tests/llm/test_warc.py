@@ -82,3 +82,18 @@ def test_wrong_length_is_quarantined():
     parts[1] = parts[1][:size] + b"9" + parts[1][size:]
     found = walk(b"".join(parts))
     assert [r["page_id"] for r in found if not r["gap"]] == [0, 2, 3, 4, 5]
+
+
+def test_very_long_urls(spark):
+    urls = ["http://h/" + "x" * 200_000, "http://h/" + " " * 70_000, "short"]
+    found = warc.round_trip(spark, spark.createDataFrame([(i, u, payload(i), None) for i, u in enumerate(urls)], SCHEMA)).collect()
+    assert sorted(r.page_id for r in found) == [0, 1, 2] and {r.page_id: r.url for r in found}[0] == urls[0]
+    plain = [warc.record(i, u, payload(i).encode(), hashlib.sha1(payload(i).encode()).hexdigest(), None) for i, u in enumerate(urls)]
+    assert [(r["page_id"], r["gap"]) for r in walk(b"".join(plain))] == [(0, None), (1, None), (2, None)]
+
+
+def test_gap_in_own_archive_fails(spark, pages, monkeypatch):
+    kept = warc.read_archives
+    monkeypatch.setattr(warc, "read_archives", lambda *a, **b: kept(*a, **b).withColumn("gap", warc.F.lit("damaged")))
+    with pytest.raises(Exception, match="own archive has a gap"):
+        warc.round_trip(spark, pages).collect()
