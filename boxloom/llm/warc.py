@@ -7,7 +7,12 @@ manifest are read, so what a lost or repeated task left behind counts for nothin
 Reading: each file is walked member by member (or version line by version line, if not compressed).
 A member must inflate to its CRC, a record's length must end at its terminator and its payload must
 have the stated digest. After a failed check the reader searches byte by byte for the next member or
-version line that does begin a valid record, goes on there, and logs the bytes between as a gap.
+version line that does begin a valid record, goes on there, and logs the bytes between as a gap. The
+same search goes over the inflated bytes of a member, also over those that came out of a damaged one
+before it broke: records in it that pass their checks are returned (of a damaged member only those with
+a digest over their payload), and the stretches between are gaps that say where in the member they lie.
+Rows of one member share its offset and length; a record from a damaged member has length 0, as
+the gap after it covers the member's bytes.
 
 Defined results: a null payload is an empty one; a null url gives a record without target; of
 payloads below `least` bytes none is a revisit. A null id is never referred to, and copies none of
@@ -193,32 +198,73 @@ def describe(head: dict, block: bytes) -> dict:
     }
 
 
-def inflate(view: Window, start: int) -> tuple[bytes, int]:
-    """(data, end) of the gzip member at `start`; zlib checks its CRC and length."""
-    engine, parts, at = zlib.decompressobj(31), [], start
-    while not engine.eof:
+def inflate(view: Window, start: int) -> tuple[bytes, int, str]:
+    """(data, end, damage) of the gzip member at `start`; zlib checks its CRC and length. If damaged, data is what came before."""
+    engine, parts, at, damage = zlib.decompressobj(31), [], start, ""
+    while not engine.eof and not damage:
         raw = view.read(at, 1 << 16)
         if not raw:
-            raise ValueError("member cut off")
+            damage = "member cut off"
+            break
+        before = engine.copy()
         try:
             parts.append(engine.decompress(raw))
         except zlib.error as broken:
-            raise ValueError(f"member damaged: {broken}") from None
+            damage = f"member damaged: {broken}"
+            parts.append(until_broken(before, raw))
         if at == start and parts[0] and not VERSION.startswith(parts[0][:7]):
             raise ValueError("member holds no record")
         at += len(raw)
-    return b"".join(parts), at - len(engine.unused_data)
+    return b"".join(parts), at - len(engine.unused_data), damage
 
 
-def take(view: Window, at: int) -> tuple[list[dict], int]:
-    """The records that begin at byte `at` (those of one member, or one plain record) and where they end."""
+def until_broken(engine, raw: bytes) -> bytes:
+    """What `raw` inflates to up to the byte that fails."""
+    out = []
+    try:
+        for i in range(len(raw)):
+            out.append(engine.decompress(raw[i : i + 1]))
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
+def within(data: bytes) -> Iterator[tuple[dict, int, int]]:
+    """(row, start, end) of the valid records in the inflated bytes of a member, and of the gaps between."""
+    at = 0
+    while at < len(data):
+        start, reason, row = at, "", None
+        while at < len(data):
+            try:
+                head, block, end = parse(data, at)
+                row = describe(head, block) | {"proven": "warc-payload-digest" in head and head.get("warc-type") != "revisit"}
+                break
+            except ValueError as failed:
+                reason = reason or str(failed)
+                following = data.find(VERSION, at + 1)
+                at = following if following >= 0 else len(data)
+        if at > start:
+            yield {"gap": f"{reason} (inflated bytes {start} to {at} of the member)"}, start, at
+        if row is not None:
+            yield row, at, end
+            at = end
+
+
+def take(view: Window, at: int) -> tuple[list[dict], int, str]:
+    """(rows, end, damage): the records that begin at byte `at`, those of one member or one plain record, and where they end."""
     if view.read(at, 3) == MAGIC:
-        data, end = inflate(view, at)
-        rows, pos = [], 0
-        while pos < len(data):
-            head, block, pos = parse(data, pos)
-            rows.append(describe(head, block))
-        return rows, end
+        data, end, damage = inflate(view, at)
+        found = list(within(data))
+        good = [not row.get("gap") and (row.pop("proven") or not damage) for row, *_ in found]
+        rows = [row for (row, *_), fine in zip(found, good) if fine or not damage]
+        if damage:
+            lost = [f"{a} to {b}" for (_, a, b), fine in zip(found, good) if not fine]
+            damage += f" (inflated bytes {', '.join(lost)} of the member)" if lost else ""
+        if found and all(row.get("gap") for row in rows):
+            raise ValueError(damage or rows[0]["gap"])
+        if damage and not rows:
+            raise ValueError(damage)
+        return rows, end, damage
     if view.read(at, len(VERSION)) != VERSION:
         raise ValueError("neither member nor version line")
     much = 1 << 16
@@ -227,7 +273,7 @@ def take(view: Window, at: int) -> tuple[list[dict], int]:
     length = re.search(rb"(?im)^content-length:\s*(\d+)\r$", view.read(at, stop) + b"\r")
     need = stop + 8 + (int(length[1]) if length else 0)
     head, block, end = parse(view.read(at, need), 0)
-    return [describe(head, block)], at + end
+    return [describe(head, block)], at + end, ""
 
 
 def candidate(view: Window, at: int) -> int:
@@ -248,11 +294,16 @@ def salvage(view: Window) -> Iterator[dict]:
         start, reason = at, ""
         while at < view.size:
             try:
-                rows, end = take(view, at)
-                break
+                rows, end, damage = take(view, at)
+                if not damage:
+                    break
+                if at > start:
+                    yield {"offset": start, "length": at - start, "gap": reason}
+                yield from (row | {"offset": at, "length": 0} for row in rows)
+                start, reason = at, damage
             except ValueError as failed:
                 reason = reason or str(failed)
-                at = candidate(view, at + 1)
+            at = candidate(view, at + 1)
         if at > start:
             yield {"offset": start, "length": at - start, "gap": reason}
         if at < view.size:

@@ -97,3 +97,31 @@ def test_gap_in_own_archive_fails(spark, pages, monkeypatch):
     monkeypatch.setattr(warc, "read_archives", lambda *a, **b: kept(*a, **b).withColumn("gap", warc.F.lit("damaged")))
     with pytest.raises(Exception, match="own archive has a gap"):
         warc.round_trip(spark, pages).collect()
+
+
+def test_bad_record_in_a_member_costs_only_itself():
+    parts = archive(False)
+    parts[2] = parts[2].replace(b"<p>2</p>", b"<p>X</p>", 1)
+    size = parts[4].index(b"Content-Length: ") + 16
+    parts[4] = parts[4][:size] + b"9" + parts[4][size:]
+    whole = gzip.compress(b"".join(parts))
+    found = walk(whole + archive(True)[0])
+    assert [r["page_id"] for r in found if not r["gap"]] == [0, 1, 3, 5, 0]
+    gaps = [r["gap"] for r in found if r["gap"]]
+    start = len(parts[0] + parts[1])
+    assert len(gaps) == 2 and f"inflated bytes {start} to {start + len(parts[2])} of the member" in gaps[0]
+
+
+@pytest.mark.parametrize("harm", ["cut", "flip", "trailer"])
+def test_damaged_member_yields_what_inflated(harm):
+    noise = [hashlib.sha512(f"{i}-{k}".encode()).hexdigest() for i in range(6) for k in range(40)]
+    texts = ["".join(noise[i * 40 : i * 40 + 40]).encode() for i in range(6)]
+    data = bytearray(gzip.compress(b"".join(warc.record(i, "u", t, hashlib.sha1(t).hexdigest(), None) for i, t in enumerate(texts))))
+    if harm == "cut":
+        data = data[: len(data) * 2 // 3]
+    else:
+        data[-6 if harm == "trailer" else len(data) * 2 // 3] ^= 0x55
+    found = walk(bytes(data) + archive(True)[5])
+    ids = [r["page_id"] for r in found if not r["gap"]]
+    assert ids[:3] == [0, 1, 2] and ids[-1] == 5 and (harm != "trailer" or ids == [0, 1, 2, 3, 4, 5, 5])
+    assert len([r for r in found if r["gap"]]) == 1 and sum(r["length"] for r in found) == len(data) + len(archive(True)[5])
