@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import contextlib
-import itertools
+import contextvars
 import string
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,14 +32,16 @@ def shared_dir(spark: SparkSession) -> str:
     return root if "://" in root else f"file://{root}"
 
 
-_PASSING: list[list[str]] = []
+#: Paths to delete at the end of the innermost `passing` of this thread (or task of an event loop).
+_PASSING: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("passing", default=None)
 
 
 def scratch(spark: SparkSession, name: str, keep: bool = False) -> str:
     """A new path in the shared folder; within `passing` it goes with the rest, unless it is to be kept."""
     path = f"{shared_dir(spark)}/boxloom/{name}-{uuid.uuid4().hex}"
-    if _PASSING and not keep:
-        _PASSING[-1].append(path)
+    mine = _PASSING.get()
+    if mine is not None and not keep:
+        mine.append(path)
     return path
 
 
@@ -50,11 +51,13 @@ def passing(spark: SparkSession):
 
     For intermediate tables of a result that has itself been written: nothing reads them any more.
     """
-    _PASSING.append([])
+    mine: list[str] = []
+    outer = _PASSING.set(mine)
     try:
         yield
     finally:
-        for path in _PASSING.pop():
+        _PASSING.reset(outer)
+        for path in mine:
             spark.sql(f"DROP TABLE IF EXISTS {table_name(path)}")
             remove(spark, path)
 
@@ -64,17 +67,21 @@ def table_name(path: str) -> str:
 
 
 @contextlib.contextmanager
-def shuffles_dropped(spark: SparkSession):
-    """Within it, a query's shuffle files go as soon as the query has ended, not when the driver collects garbage."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def configured(spark: SparkSession, key: str, value: str):
+    """Within it, the session's setting `key` has another value; plans made outside are not touched."""
     before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
 
 
+def shuffles_dropped(spark: SparkSession):
+    """Within it, a query's shuffle files go as soon as the query has ended, not when the driver collects garbage."""
+    return configured(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write `df` to the shared folder and read it again: the lineage ends at files that outlive executors."""
     path = scratch(df.sparkSession, name, keep)
@@ -85,19 +92,35 @@ def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
 
 #: Rows of a block: the low bits of a row number count within it.
 BLOCK_BITS = 12
+#: Bytes of text after which the next row begins a new block.
+BLOCK_BYTES = 16 << 20
+
+
+class RowNumbers:
+    """Numbers for the rows of this task, in order: unique over all tasks, the same if the task is run again.
 
+    The bits above `BLOCK_BITS` are the row's block, which ends after 4096 rows or `BLOCK_BYTES` bytes,
+    so that the texts of a block can be held at once (a longer text is a block of its own).
+    """
+
+    def __init__(self):
+        from pyspark import TaskContext
 
-def row_numbers() -> Iterator[int]:
-    """Numbers for the rows of this task, in order: unique over all tasks, the same if the task is run again."""
-    from pyspark import TaskContext
+        self.block, self.rows, self.bytes = TaskContext.get().partitionId() << (36 - BLOCK_BITS), 0, 0
 
-    return itertools.count(TaskContext.get().partitionId() << 36)
+    def take(self, size: int) -> int:
+        """The number of a row whose text has `size` bytes."""
+        if self.rows == 1 << BLOCK_BITS or (self.rows and self.bytes + size > BLOCK_BYTES):
+            self.block, self.rows, self.bytes = self.block + 1, 0, 0
+        number = self.block << BLOCK_BITS | self.rows
+        self.rows, self.bytes = self.rows + 1, self.bytes + size
+        return number
 
 
 def in_blocks(df: DataFrame, name: str) -> DataFrame:
-    """Write `df`, whose `row` is from `row_numbers`, as a table bucketed by `block`, without a shuffle.
+    """Write `df`, whose `row` is from `RowNumbers`, as a table bucketed by `block`, without a shuffle.
 
-    A block are the up to 4096 rows that one task read one after another. As the table is bucketed, it
+    A block are the rows that one task read one after another, as far as `RowNumbers` lets it grow. As the table is bucketed, it
     can be grouped with other data of its blocks while only these are shuffled.
     """
     spark = df.sparkSession
@@ -109,11 +132,26 @@ def in_blocks(df: DataFrame, name: str) -> DataFrame:
     return spark.table(table)
 
 
+def store(spark: SparkSession, path: str):
+    """(file system, path) of a URI, through Hadoop, so any store works."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a path of the shared folder through Hadoop, so any store works."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = store(spark, path)
+    files.delete(target, True)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    files, target = store(spark, folder)
+    return sorted(f.getPath().getName() for f in files.listStatus(target)) if files.exists(target) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, whose name is all it says: there at once or not at all."""
+    files, target = store(spark, path)
+    files.create(target, False).close()
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BITS, fresh, in_blocks, materialise, partitions, passing, row_numbers, ship
+from .common import BLOCK_BITS, RowNumbers, fresh, in_blocks, materialise, partitions, passing, ship
 
 BLANK = np.zeros(256, bool)
 BLANK[[32, *range(9, 14)]] = True
@@ -148,13 +148,13 @@ def read_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFr
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
 
-        pack, numbers = zstandard.ZstdCompressor(level=3), row_numbers()
+        pack, numbers = zstandard.ZstdCompressor(level=3), RowNumbers()
         for batch in batches:
             rows = []
             for ident, text, mark in zip(batch["id"], batch["text"], batch["text_hash"]):
                 body = ("" if text is None else text).encode().translate(LOWER)
                 own = shingles(body, width)
-                rows.append((next(numbers), ident, mark, len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest(), pack.compress(body)))
+                rows.append((numbers.take(len(body)), ident, mark, len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest(), pack.compress(body)))
             yield pd.DataFrame(rows, columns=["row", "doc_id", "text_hash", "n", "same", "body"])
 
     source = docs.select(F.col(id_col).cast("bigint").cast("string").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))

@@ -27,7 +27,6 @@ the id says so. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, in_blocks, materialise, partitions, passing, row_numbers, ship
+from .common import RowNumbers, fresh, in_blocks, materialise, partitions, passing, ship
 
 ORDER = 5
 SYMBOLS = 256
@@ -197,10 +196,11 @@ def compressed(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Da
     def squeeze(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
 
-        pack, numbers = zstandard.ZstdCompressor(level=3), row_numbers()
+        pack, numbers = zstandard.ZstdCompressor(level=3), RowNumbers()
         for batch in batches:
-            batch["body"] = [pack.compress(("" if t is None else t).encode().translate(FOLDED)) for t in batch.pop("text")]
-            batch["row"] = list(itertools.islice(numbers, len(batch)))
+            bodies = [("" if t is None else t).encode().translate(FOLDED) for t in batch.pop("text")]
+            batch["body"] = [pack.compress(b) for b in bodies]
+            batch["row"] = [numbers.take(len(b)) for b in bodies]
             yield batch[["row", "id", "text_hash", "lang", "body"]]
 
     texts = docs.select(F.col(id_col).cast("bigint").cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
