@@ -8,15 +8,17 @@ the states are pooled by a learned attention.
 
 Labels are of documents, not of windows, so training is in two parts: first each window has its
 document's label (windows of clean documents are surely clean), then, of a toxic document, only the
-windows that the network itself finds toxic, its worst at least. A part of the training documents is
-held back to place the decision at 0.5.
+windows that the network itself finds toxic, its worst at least. A round goes over the windows as
+often as it takes to see 25,000 of them, at most 8 times. A sixth of the documents of each class (one
+at least) are not trained on, and place the decision at 0.5.
 
 Fitting uses a bounded sample of whole documents: at most `rows` labelled ones of each class, in order
 of hash, of which those are left out that would take the class above `most` windows. All windows of a
 sampled document are learned from and count for the decision, as all windows of all documents are
 scored, one Arrow batch at a time.
 
-Defined results: null and empty texts have the score of an empty window, below 0.5. Several labels of
+Defined results: null texts, empty ones and those without a word have the score of an empty window, held
+below 0.5. Several labels of
 one document count as toxic if any is. Without labels of both classes every score is 0. Repeated rows
 are scored each. Only the id, the text and the labels are read.
 """
@@ -244,9 +246,9 @@ def factorised(texts: list[list[str]], net: Network) -> tuple[Features, np.ndarr
     return Features(list(distinct), *net.sizes), ids, limits
 
 
-def document_logits(net: Network, texts: list[str | None], most: int = 500_000) -> np.ndarray:
-    """The worst window of each text, batched by number of words."""
-    out, held, size = [], [], 0
+def document_logits(net: Network, texts: list[str | None], most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
+    """(the worst window of each text, which texts have no word), batched by number of words."""
+    out, none, held, size = [], [], [], 0
 
     def flush() -> None:
         features, ids, limits = factorised(held, net)
@@ -254,6 +256,7 @@ def document_logits(net: Network, texts: list[str | None], most: int = 500_000)
         worst = np.full(len(held), -np.inf)
         np.maximum.at(worst, doc, window_logits(net, features, spans, real))
         out.append(worst)
+        none.append(np.diff(limits) == 0)
         held.clear()
 
     for text in texts:
@@ -264,7 +267,7 @@ def document_logits(net: Network, texts: list[str | None], most: int = 500_000)
             size = 0
     if held:
         flush()
-    return np.concatenate(out) if out else np.empty(0)
+    return (np.concatenate(out), np.concatenate(none)) if out else (np.empty(0), np.empty(0, bool))
 
 
 def train(sample: pd.DataFrame, odds: float = 1.0, seed: int = 11, batch: int = 256, rounds: int = 2, worst_rounds: int = 3,
@@ -284,7 +287,12 @@ def train(sample: pd.DataFrame, odds: float = 1.0, seed: int = 11, batch: int =
     real[:, 0] |= ~real.any(axis=1)
     label = sample["toxic"].to_numpy(np.float32)
     doc, _ = pd.factorize(sample["doc_id"])
-    held = (rng.permutation(doc.max() + 1) % 6 == 0)[doc]
+    of_doc = pd.Series(label).groupby(doc).first().to_numpy()
+    held = np.zeros(len(of_doc), bool)
+    for c in (0, 1):
+        own = np.flatnonzero(of_doc == c)
+        held[rng.permutation(own)[: -(-len(own) // 6)]] = True
+    held = held[doc]
 
     def epoch(rows: np.ndarray, speed: float) -> None:
         rows = rng.permutation(rows)
@@ -294,17 +302,15 @@ def train(sample: pd.DataFrame, odds: float = 1.0, seed: int = 11, batch: int =
             net.step(features, ids[r], real[r], label[r], np.where(label[r] == 1, share**0.5, 1.0).astype(np.float32), speed)
 
     fit = np.flatnonzero(~held)
-    repeats = max(1, min(8, 25_000 // max(1, len(fit))))  # small samples need more passes
+    repeats = max(1, min(8, 25_000 // max(1, len(fit))))
     for _ in range(rounds * repeats):
         epoch(fit, rate)
     for _ in range(worst_rounds * repeats):
         logit = window_logits(net, features, ids, real)
         worst = pd.Series(logit).groupby(doc).transform("max").to_numpy()
         epoch(fit[(label[fit] == 0) | (logit[fit] == worst[fit]) | (logit[fit] > 1)], rate / 2)
-    by_doc = pd.DataFrame({"doc": doc, "logit": window_logits(net, features, ids, real), "toxic": label, "held": held}).groupby("doc").max()
-    apart = by_doc[by_doc["held"]]
-    enough = apart["toxic"].nunique() > 1 and apart["toxic"].sum() >= 20  # else what was fitted on must do
-    net.shift = cutoff(apart if enough else by_doc, odds)
+    apart = pd.DataFrame({"doc": doc, "logit": window_logits(net, features, ids, real), "toxic": label})[held].groupby("doc").max()
+    net.shift = cutoff(apart, odds)
     return net
 
 
@@ -370,9 +376,9 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = 1200, most: int = 100_
             if model is None:
                 batch["score"] = 0.0
             else:
-                logit = document_logits(model, batch["text"].tolist()) - model.shift
-                empty = [not words_of(t) if t is None or len(t) < 64 else False for t in batch["text"]]
-                batch["score"] = np.where(empty, np.minimum(sigmoid(logit), 0.49), sigmoid(logit)).astype(np.float64)
+                logit, wordless = document_logits(model, batch["text"].tolist())
+                chance = sigmoid(logit - model.shift)
+                batch["score"] = np.where(wordless, np.minimum(chance, 0.49), chance).astype(np.float64)
             yield batch[["doc_id", "score"]]
 
     source = docs.select(F.col(id_col).cast("decimal(20,0)").alias("doc_id"), F.col(text_col).alias("text"))
