@@ -24,10 +24,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,8 @@ from pyspark.sql import functions as F
 from .common import scratch, ship
 
 CHUNK = 1 << 20
+#: Inflated bytes of a member that are held in memory; more are inflated a second time as they are read.
+HOLD = 16 << 20
 VERSION = b"WARC/1."
 MAGIC = b"\x1f\x8b\x08"
 DATE = "2020-01-01T00:00:00Z"
@@ -145,6 +148,33 @@ class Window:
         return self.held[start - self.at : start - self.at + count]
 
 
+class Inflated:
+    """The first `size` inflated bytes of the member at `start`, read forwards: what lies before the last read is let go."""
+
+    def __init__(self, view: Window, start: int, size: int):
+        self.source, self.size, self.at, self.held = inflating(view, start), size, 0, bytearray()
+
+    def read(self, start: int, count: int) -> bytes:
+        count = max(0, min(count, self.size - start))
+        while self.at + len(self.held) < start + count:
+            if start > self.at:
+                gone = min(start - self.at, len(self.held))
+                del self.held[:gone]
+                self.at += gone
+            self.held += next(self.source)
+        return bytes(self.held[start - self.at : start - self.at + count])
+
+
+class Held:
+    """Bytes in memory, read as the other two are."""
+
+    def __init__(self, data: bytes):
+        self.data, self.size = data, len(data)
+
+    def read(self, start: int, count: int) -> bytes:
+        return self.data[start : start + count]
+
+
 def header_end(data: bytes, start: int, ended: bool = True) -> int:
     """Where the blank line after the header at `start` stands, however long that is; -1 if more data must tell."""
     at = start
@@ -161,19 +191,23 @@ def header_end(data: bytes, start: int, ended: bool = True) -> int:
         at = stop + 2
 
 
-def parse(data: bytes, start: int) -> tuple[dict, bytes, int]:
+def parse(source: Window | Inflated | Held, start: int) -> tuple[dict, bytes, int]:
     """(headers, block, end) of the record at `start`; ValueError says which check failed."""
-    if not data.startswith(VERSION, start):
+    if source.read(start, len(VERSION)) != VERSION:
         raise ValueError("no version line")
-    stop = header_end(data, start)
-    lines = data[start:stop].split(b"\r\n")[1:]
+    much = 1 << 16
+    while (stop := header_end(data := source.read(start, much), 0, start + much >= source.size)) < 0:
+        much *= 2
+    lines = data[:stop].split(b"\r\n")[1:]
     head = {k.strip().lower().decode("latin-1"): v.strip().decode("utf-8", "replace") for k, _, v in (x.partition(b":") for x in lines)}
     if not head.get("content-length", "").isdigit():
         raise ValueError("no length")
-    end = stop + 4 + int(head["content-length"])
-    if data[end : end + 4] != b"\r\n\r\n":
+    first = stop + 4
+    last = first + int(head["content-length"])
+    whole = source.read(start, last + 4) if start + last + 4 <= source.size else b""  # from its start, as the search may go back there
+    if whole[last:] != b"\r\n\r\n":
         raise ValueError("length does not meet the terminator")
-    return head, data[stop + 4 : end], end + 4
+    return head, whole[first:last], start + last + 4
 
 
 def describe(head: dict, block: bytes) -> dict:
@@ -198,24 +232,38 @@ def describe(head: dict, block: bytes) -> dict:
     }
 
 
-def inflate(view: Window, start: int) -> tuple[bytes, int, str]:
-    """(data, end, damage) of the gzip member at `start`; zlib checks its CRC and length. If damaged, data is what came before."""
-    engine, parts, at, damage = zlib.decompressobj(31), [], start, ""
-    while not engine.eof and not damage:
+def inflating(view: Window, start: int) -> Generator[bytes, None, tuple[int, str]]:
+    """The bytes that the gzip member at `start` inflates to, up to its end or to what is damaged; returns (end, damage)."""
+    engine, at = zlib.decompressobj(31), start
+    while not engine.eof:
         raw = view.read(at, 1 << 16)
         if not raw:
-            damage = "member cut off"
-            break
-        before = engine.copy()
+            return at, "member cut off"
+        before, at = engine.copy(), at + len(raw)
         try:
-            parts.append(engine.decompress(raw))
+            yield engine.decompress(raw)
         except zlib.error as broken:
-            damage = f"member damaged: {broken}"
-            parts.append(until_broken(before, raw))
-        if at == start and parts[0] and not VERSION.startswith(parts[0][:7]):
-            raise ValueError("member holds no record")
-        at += len(raw)
-    return b"".join(parts), at - len(engine.unused_data), damage
+            yield until_broken(before, raw)
+            return at, f"member damaged: {broken}"
+    return at - len(engine.unused_data), ""
+
+
+def inflate(view: Window, start: int) -> tuple[Held | Inflated, int, str]:
+    """(inflated bytes, end, damage) of the gzip member at `start`; zlib checks its CRC and length.
+
+    They are held if they are `HOLD` at most; else they are inflated a second time as they are read.
+    """
+    parts, size, source = [], 0, inflating(view, start)
+    while True:
+        try:
+            part = next(source)
+        except StopIteration as done:
+            end, damage = done.value
+            return (Held(b"".join(parts)) if size <= HOLD else Inflated(view, start, size)), end, damage
+        size += len(part)
+        parts.append(part)
+        if size > HOLD:
+            parts.clear()
 
 
 def until_broken(engine, raw: bytes) -> bytes:
@@ -229,62 +277,57 @@ def until_broken(engine, raw: bytes) -> bytes:
     return b"".join(out)
 
 
-def within(data: bytes) -> Iterator[tuple[dict, int, int]]:
-    """(row, start, end) of the valid records in the inflated bytes of a member, and of the gaps between."""
+def within(source: Held | Inflated, damage: str) -> Iterator[dict]:
+    """The valid records in the inflated bytes of a member, and the gaps between; of a damaged member only proven records.
+
+    A record is proven if its payload has the stated digest. Of a damaged member gaps are not told
+    apart: the whole member becomes one.
+    """
     at = 0
-    while at < len(data):
+    while at < source.size:
         start, reason, row = at, "", None
-        while at < len(data):
+        while at < source.size:
             try:
-                head, block, end = parse(data, at)
-                row = describe(head, block) | {"proven": "warc-payload-digest" in head and head.get("warc-type") != "revisit"}
+                head, block, end = parse(source, at)
+                row = describe(head, block)
+                if damage and (row["record_type"] == "revisit" or "warc-payload-digest" not in head):
+                    raise ValueError("record of a damaged member without a digest over its payload")
                 break
             except ValueError as failed:
-                reason = reason or str(failed)
-                following = data.find(VERSION, at + 1)
-                at = following if following >= 0 else len(data)
-        if at > start:
-            yield {"gap": f"{reason} (inflated bytes {start} to {at} of the member)"}, start, at
+                reason, row = reason or str(failed), None
+                at = candidate(source, at + 1, (VERSION,))
+        if at > start and not damage:
+            yield {"gap": f"{reason} (inflated bytes {start} to {at} of the member)"}
         if row is not None:
-            yield row, at, end
+            yield row
             at = end
 
 
-def take(view: Window, at: int) -> tuple[list[dict], int, str]:
+def take(view: Window, at: int) -> tuple[Iterator[dict], int, str]:
     """(rows, end, damage): the records that begin at byte `at`, those of one member or one plain record, and where they end."""
     if view.read(at, 3) == MAGIC:
-        data, end, damage = inflate(view, at)
-        found = list(within(data))
-        good = [not row.get("gap") and (row.pop("proven") or not damage) for row, *_ in found]
-        rows = [row for (row, *_), fine in zip(found, good) if fine or not damage]
-        if damage:
-            lost = [f"{a} to {b}" for (_, a, b), fine in zip(found, good) if not fine]
-            damage += f" (inflated bytes {', '.join(lost)} of the member)" if lost else ""
-        if found and all(row.get("gap") for row in rows):
-            raise ValueError(damage or rows[0]["gap"])
-        if damage and not rows:
-            raise ValueError(damage)
-        return rows, end, damage
-    if view.read(at, len(VERSION)) != VERSION:
-        raise ValueError("neither member nor version line")
-    much = 1 << 16
-    while (stop := header_end(view.read(at, much), 0, at + much >= view.size)) < 0:
-        much *= 2
-    length = re.search(rb"(?im)^content-length:\s*(\d+)\r$", view.read(at, stop) + b"\r")
-    need = stop + 8 + (int(length[1]) if length else 0)
-    head, block, end = parse(view.read(at, need), 0)
-    return [describe(head, block)], at + end, ""
-
-
-def candidate(view: Window, at: int) -> int:
-    """The next byte from `at` on where a member's magic or a version line stands, or the file's end."""
-    while at < view.size:
-        part = view.read(at, CHUNK)
-        hits = [x for x in (part.find(MAGIC), part.find(VERSION)) if x >= 0]
+        source, end, damage = inflate(view, at)
+        rows, ahead = within(source, damage), []
+        for row in rows:
+            ahead.append(row)
+            if not row["gap"]:
+                return itertools.chain(ahead, rows), end, damage
+        if damage or ahead:
+            raise ValueError(damage or ahead[0]["gap"])
+        return iter([]), end, damage
+    head, block, end = parse(view, at)
+    return iter([describe(head, block)]), end, ""
+
+
+def candidate(source: Window | Inflated | Held, at: int, marks: tuple[bytes, ...] = (MAGIC, VERSION)) -> int:
+    """The next byte from `at` on where one of `marks` stands, or the end."""
+    while at < source.size:
+        part = source.read(at, CHUNK)
+        hits = [x for x in map(part.find, marks) if x >= 0]
         if hits:
             return at + min(hits)
-        at += max(1, len(part) - len(VERSION) + 1) if at + len(part) < view.size else len(part)
-    return view.size
+        at += max(1, len(part) - len(VERSION) + 1) if at + len(part) < source.size else len(part)
+    return source.size
 
 
 def salvage(view: Window) -> Iterator[dict]:

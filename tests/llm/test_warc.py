@@ -125,3 +125,31 @@ def test_damaged_member_yields_what_inflated(harm):
     ids = [r["page_id"] for r in found if not r["gap"]]
     assert ids[:3] == [0, 1, 2] and ids[-1] == 5 and (harm != "trailer" or ids == [0, 1, 2, 3, 4, 5, 5])
     assert len([r for r in found if r["gap"]]) == 1 and sum(r["length"] for r in found) == len(data) + len(archive(True)[5])
+
+
+@pytest.mark.parametrize("hold", [1000, 1 << 24])
+@pytest.mark.parametrize("bad", [0, 2, 5])
+def test_whole_file_in_one_member(monkeypatch, bad, hold):
+    """One damaged record, first, inner or last, costs only itself, whether the member is held or inflated again."""
+    monkeypatch.setattr(warc, "HOLD", hold)
+    parts = archive(False)
+    parts[bad] = parts[bad].replace(f"<p>{bad}</p>".encode(), b"<p>X</p>", 1)
+    data = gzip.compress(b"".join(parts))
+    found = walk(data)
+    assert [r["page_id"] for r in found if not r["gap"]] == [i for i in range(6) if i != bad] and len([r for r in found if r["gap"]]) == 1
+
+
+def test_large_member_is_read_forwards(monkeypatch):
+    """A record far longer than what is held, and a header without its end, in one member."""
+    monkeypatch.setattr(warc, "HOLD", 1000)
+    text = "".join(hashlib.sha1(str(i).encode()).hexdigest() for i in range(100_000)).encode()
+    long = warc.record(7, "u", text, hashlib.sha1(text).hexdigest(), None)
+    found = walk(gzip.compress(b"".join([*archive(False)[:2], long, b"WARC/1.1 broken\r\n\r\n", archive(False)[3]]), 1))
+    assert [r["page_id"] for r in found if not r["gap"]] == [0, 1, 7, 3] and len([r for r in found if r["gap"]]) == 1
+    assert found[2]["payload"] == text
+
+
+def test_very_large_payload(spark):
+    html = "<p>x</p>" * 1_000_000
+    found = warc.round_trip(spark, spark.createDataFrame([(1, "u", html, None), (2, "u", html, None)], SCHEMA)).collect()
+    assert {(r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in found} == {(2, "response", None, len(html)), (1, "revisit", 2, len(html))}
