@@ -90,6 +90,16 @@ def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: The largest table, in rows, that is broadcast.
+SMALL = 100_000
+
+
+def joinable(df: DataFrame, name: str) -> DataFrame:
+    """`df`, written, to be broadcast if it has at most `SMALL` rows; else it is joined by shuffle."""
+    written = materialise(df, name)
+    return F.broadcast(written) if written.count() <= SMALL else written
+
+
 #: Rows of a block: the low bits of a row number count within it.
 BLOCK_BITS = 12
 #: Bytes of text after which the next row begins a new block.

@@ -15,12 +15,13 @@ documents of all sizes and languages together; nothing of the corpus is sampled.
 
 Of the trusted texts `1 / spare` (by hash of the folded text, so with all copies) are not trained on:
 their perplexities, shrunk towards their language's mean by `weight` bytes so that short texts are not
-judged by chance, give each language's limit, their `high` quantile, in which each distinct text counts
-once. Documents above the limit are rejected.
+judged by chance, give each language's `high` quantile, in which each distinct text counts once. The
+limit is its mean with the quantile of all languages, where the language's counts as often as it has
+spared texts and that of all languages `prior` times. Documents above the limit are rejected.
 
 Defined results: null and empty texts have their language's mean and stay. A null language is one of
-its own. Languages with fewer than `least` spared documents use the limit of all. Without trusted
-text every document stays. Rows that repeat an id are scored each; they are trusted if any label of
+its own. A language without spared texts has mean and limit of all. Without trusted text every
+document stays. Rows that repeat an id are scored each; they are trusted if any label of
 the id says so. Other columns are not read.
 """
 
@@ -34,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RowNumbers, fresh, in_blocks, materialise, partitions, passing, ship
+from .common import RowNumbers, fresh, in_blocks, joinable, materialise, partitions, passing, ship
 
 ORDER = 5
 SYMBOLS = 256
@@ -305,26 +306,24 @@ def perplexities(docs: DataFrame, labels: DataFrame, spare: int = 5, id_col: str
     return materialise(out.withColumn("doc_id", F.col("doc_id").cast("bigint")), "quality-scores")
 
 
-def limits(scores: DataFrame, weight: float, high: float, least: int) -> DataFrame:
-    """(lang, mean, bound): per language the mean log perplexity and the limit, with a row for all languages (lang null, whole)."""
+def limits(scores: DataFrame, weight: float, high: float) -> DataFrame:
+    """(key, mean, bound, texts): per language (null: empty) the mean log perplexity, the quantile and the spared texts. One small row each."""
     shrunk = (F.col("nll") + F.lit(weight) * F.col("mean")) / (F.col("n") + F.lit(weight))
-    key = F.coalesce("lang", F.lit(""))
-    spared = scores.where("spared AND n > 0").groupBy(key.alias("lang"), "body_hash").agg(F.min("nll").alias("nll"), F.first("n").alias("n"))
-    means = spared.groupBy(key.alias("key")).agg((F.sum("nll") / F.sum("n")).alias("mean"))
-    bound = F.percentile_approx(shrunk, high, 10000)
-    return (
-        spared.withColumn("key", key).join(means, "key").groupBy("key", "mean")
-        .agg(bound.alias("bound"), F.count("*").alias("spared")).where(F.col("spared") >= least)
-    )
+    key = F.coalesce("lang", F.lit("")).alias("key")
+    spared = scores.where("spared AND n > 0").groupBy(key, "body_hash").agg(F.min("nll").alias("nll"), F.first("n").alias("n"))
+    spared = materialise(spared, "quality-spared")
+    means = joinable(spared.groupBy("key").agg((F.sum("nll") / F.sum("n")).alias("mean")), "quality-means")
+    return spared.join(means, "key").groupBy("key", "mean").agg(F.percentile_approx(shrunk, high, 10000).alias("bound"), F.count("*").alias("texts"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, weight: float = 100.0, high: float = 0.99, least: int = 5, **how) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, weight: float = 100.0, high: float = 0.99, prior: float = 5.0, **how) -> DataFrame:
     """(doc_id, text_hash, lang, n, perplexity, bound, kept) for every row of `docs`; `labels` has doc_id, quality."""
     scores = perplexities(docs, labels, **how)
-    own = limits(scores, weight, high, least)
-    whole = limits(scores.withColumn("lang", F.lit("")), weight, high, 1).agg(F.max("mean").alias("any_mean"), F.max("bound").alias("any_bound"))
-    known = scores.withColumn("key", F.coalesce("lang", F.lit(""))).join(own, "key", "left").crossJoin(F.broadcast(whole))
-    mean, bound = F.coalesce("mean", "any_mean"), F.coalesce("bound", "any_bound")
+    own = joinable(limits(scores, weight, high), "quality-limits")
+    whole = limits(scores.withColumn("lang", F.lit("")), weight, high).agg(F.max("mean").alias("any_mean"), F.max("bound").alias("any_bound"))
+    known = scores.withColumn("key", F.coalesce("lang", F.lit(""))).join(own, "key", "left").crossJoin(F.broadcast(whole))  # one row
+    mean, texts = F.coalesce("mean", "any_mean"), F.coalesce("texts", F.lit(0))
+    bound = (F.coalesce("bound", F.lit(0.0)) * texts + F.col("any_bound") * F.lit(prior)) / (texts + F.lit(prior))
     shrunk = (F.col("nll") + F.lit(weight) * mean) / (F.col("n") + F.lit(weight))
     return known.select(
         "doc_id", "text_hash", "lang", "n", F.exp(shrunk).alias("perplexity"), F.exp(bound).alias("bound"), F.coalesce(shrunk <= bound, F.lit(True)).alias("kept")

@@ -172,5 +172,26 @@ def test_copies_are_spared_together_and_count_once(spark):
     assert len(copies) == 1  # equal but for a digit, which the model doesn't see
     rows = [("en", 1, 50.0, 100, True)] * 500 + [("en", 2 + i, 200.0 + i, 100, True) for i in range(10)]
     made = spark.createDataFrame(rows, "lang string, body_hash long, nll double, n long, spared boolean")
-    bound = quality.limits(made, 0.0, 0.5, 1).first()
-    assert bound.spared == 11 and bound.bound == pytest.approx(2.04)
+    bound = quality.limits(made, 0.0, 0.5).first()
+    assert bound.texts == 11 and bound.bound == pytest.approx(2.04)
+
+
+def test_texts_without_words_are_clean_at_any_length():
+    """Even where the network itself would call an empty window toxic."""
+    net = toxicity.Network()
+    net.p["oc"][:] = 5.0
+    for text in (None, "", "!" * 63, "!" * 64, "? " * 10_000):
+        logit, wordless = toxicity.document_logits(net, [text])
+        assert wordless.tolist() == [True] and logit[0] > 0
+    assert toxicity.document_logits(net, ["word", "!!", "a " * 100])[1].tolist() == [False, True, False]
+
+
+def test_scores_of_odd_tables(spark):
+    schema, marks = "doc_id long, text string, score string, label int", "doc_id long, toxic int"
+    rows = toxic_corpus(60, 4)
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], marks)
+    assert toxicity.score(spark.createDataFrame([], schema), labels).count() == 0
+    docs = spark.createDataFrame([(i, t, "x", 0) for i, t, _ in rows] + [(900, "!" * 5000, "x", 0), (901, None, None, None), (None, "tea", "", 1), (900, "!" * 5000, "x", 0)], schema)
+    found = toxicity.score(docs, labels).collect()
+    assert len(found) == 64 and all(r.score < 0.5 for r in found if r.doc_id in (900, 901)) and all(0 <= r.score <= 1 for r in found)
+    assert {r.score for r in toxicity.score(docs, spark.createDataFrame([], marks)).collect()} == {0.0}
