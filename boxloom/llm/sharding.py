@@ -22,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, ship
+from .common import fresh, joinable, materialise, ship
 
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 
@@ -131,24 +131,27 @@ def assign(docs: DataFrame, shards: int = 24, run: int = 1 << 20, id_col: str =
     placed = rows.withColumn("shard", shard_of(splitters(rows, shards, **how), F.col("h"), F.coalesce("id", F.lit(LOWEST))))
     runs = max(8, -(-rows.count() // (run * shards)))
     placed = placed.withColumn("run", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(runs)))
-    sizes = sorted(placed.groupBy("shard", "run").count().collect())  # shards x runs rows
-    starts, total = [], {}
-    for shard, part, n in sizes:
-        starts.append((shard, part, total.get(shard, 0)))
-        total[shard] = total.get(shard, 0) + n
-    first = spark.createDataFrame(starts, "shard int, run bigint, first bigint")
+    before = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("shard", "run").count()  # about one row for each `run` documents
+    first = joinable(sizes.select("shard", "run", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first")), "shard-runs")
     order = "row_number() OVER (PARTITION BY shard, run ORDER BY h, id) - 1"
-    numbered = placed.withColumn("nth", F.expr(order)).join(F.broadcast(first), ["shard", "run"])
+    numbered = placed.withColumn("nth", F.expr(order)).join(first, ["shard", "run"])
     return numbered.select("id", "size", "crc", "h", "shard", (F.col("first") + F.col("nth")).alias("slot"))
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """Write `docs` as `shards` folders of Parquet under `path`, exchanging the texts once; returns the splitters (shard, h, id)."""
+def write_shards(docs: DataFrame, path: str, shards: int = 24, part: int = 256 << 20, id_col: str = "doc_id", text_col: str = "text",
+                 **how) -> DataFrame:
+    """Write `docs` as `shards` folders of Parquet under `path`, exchanging the texts once; returns the splitters (shard, h, id).
+
+    A shard is written by several tasks, of about `part` bytes each, dealt by hash of the id.
+    """
     spark = docs.sparkSession
-    cuts = splitters(materialise(keyed(docs, id_col, text_col), "shard-keys"), shards, **how)
+    rows = materialise(keyed(docs, id_col, text_col), "shard-keys")
+    cuts = splitters(rows, shards, **how)
+    parts = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // (part * shards)))
     h, ident, shard = (fresh(docs, c) for c in ("_h", "_id", "shard"))
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     keys = docs.withColumns({h: F.xxhash64(raw), ident: F.coalesce(F.col(id_col).cast("bigint"), F.lit(LOWEST))})
-    placed = keys.withColumn(shard, shard_of(cuts, F.col(h), F.col(ident))).drop(h, ident)
-    placed.repartition(F.col(shard)).write.partitionBy(shard).parquet(path)
+    placed = keys.withColumn(shard, shard_of(cuts, F.col(h), F.col(ident)))
+    placed.repartition(shards * parts, F.col(shard), F.pmod(F.xxhash64(ident, F.lit(7)), F.lit(parts))).drop(h, ident).write.partitionBy(shard).parquet(path)
     return spark.createDataFrame([(i + 1, h, x) for i, (h, x) in enumerate(cuts)], "shard int, h bigint, id bigint")
