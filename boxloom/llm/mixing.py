@@ -25,12 +25,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise
+from .common import SMALL, fresh, materialise
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 LEVELS = ("domain", "lang", "source")
-#: The largest table of leaves that is broadcast; more are joined by shuffle.
-SMALL = 100_000
 
 #: Production parameters: weights by level; a source's domain is the remainder of its number by 4.
 WEIGHTS = {
@@ -103,16 +101,23 @@ def cuts(rows: DataFrame, table: DataFrame, seed: int, small: bool) -> DataFrame
 
 
 def uses(docs: DataFrame, budget: float = 1.0, epochs: int = 2, weights: dict[str, dict[str, int]] | None = None, other: int = OTHER, seed: int = 17,
-         id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """`docs` with `tokens`, `domain`, `quota` (of the leaf) and `times` (how often the mix uses the document)."""
+         id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
+         with_text: bool = True) -> DataFrame:
+    """`docs` with `tokens`, `domain`, `quota` (of the leaf) and `times` (how often the mix uses the document).
+
+    `with_text` False leaves the text out, which is then read once only.
+    """
     names = {c: fresh(docs, c) for c in ("_domain", "_lang", "_source", "_tokens", "_id", "_quota", "_times")}
     keyed = docs.withColumns({
         names["_domain"]: key_of(domain_of(F.col(source_col))), names["_lang"]: key_of(F.col(lang_col)), names["_source"]: key_of(F.col(source_col)),
         names["_tokens"]: F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(WORD)).cast("bigint"),
         names["_id"]: F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))),
     })
+    if not with_text:
+        keyed = materialise(keyed.drop(text_col), "mixing-documents")
     light = keyed.select(*(F.col(names[f"_{c}"]).alias(c) for c in LEVELS), F.col(names["_tokens"]).alias("tokens"), F.col(names["_id"]).alias("id"))
-    light = materialise(light, "mixing-rows")
+    if with_text:
+        light = materialise(light, "mixing-rows")
     table = materialise(leaves(light, budget, epochs, weights or WEIGHTS, other), "mixing-quotas")
     small = table.count() <= SMALL
     found = materialise(cuts(light, table, seed, small), "mixing-cuts").select(*(F.col(c).alias(f"leaf_{c}") for c in (*LEVELS, "supply", "quota", "whole", "at", "last", "exact")))
@@ -122,7 +127,7 @@ def uses(docs: DataFrame, budget: float = 1.0, epochs: int = 2, weights: dict[st
     times = F.coalesce(F.col("leaf_whole") + taken.cast("bigint"), F.lit(0)).cast("int")
     out = keyed.join(F.broadcast(found) if small else found, match, "left")
     return out.select(
-        *docs.columns, F.col(names["_tokens"]).alias("tokens"), domain_of(F.col(source_col)).alias("domain"),
+        *(c for c in docs.columns if with_text or c != text_col), F.col(names["_tokens"]).alias("tokens"), domain_of(F.col(source_col)).alias("domain"),
         F.coalesce("leaf_quota", F.lit(0)).alias("quota"), times.alias("times"),
     )
 

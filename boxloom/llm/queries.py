@@ -49,7 +49,7 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.uses(table(spark, sf_dir, "documents")).select("doc_id", "domain", "lang", "source", "tokens", "quota", "times")
+    return mixing.uses(table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "domain", "lang", "source", "tokens", "quota", "times")
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
