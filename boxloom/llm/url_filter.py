@@ -4,13 +4,16 @@ A path's segments are walked level by level. At each node (host and template so
 apart if its labels tell it from the rest of the node, however few of the pages it has: by a likelihood
 ratio test whose limit grows with the number of branches tested at the level. Where labels are too few
 for that, a branch with at least `share` of the node's pages stays if a two-proportion z-test on smoothed
-counts finds it different. All others are merged into the wildcard `*`. Below `depth` levels only
-that first test is made, for as long as any node's labels could pass it; what lies below the last branch
-kept becomes `**`. A template is rejected when its share of good labelled
-pages, smoothed towards its host's and that towards the whole corpus', is below `purity`.
+counts finds it different. All others are merged into the wildcard `*`. Of the branches that stay,
+those like each other are merged, too: in order of their purity, each is tested against the one before,
+and those that are not told apart are one template, `first#number` (no path holds a `#`). Below `depth`
+levels only the first test is made, for as long as any node's labels could pass it; what lies below the
+last branch kept becomes `**`. A template is rejected when its share of good labelled pages, smoothed
+towards its host's and that towards the whole corpus', is below `purity`.
 
 All of it is aggregation and equi-joins: counts are taken before the shuffle, so a host with a third
-of all pages costs a few partial rows a task, and no window gathers a host's pages.
+of all pages costs a few partial rows a task. A node's totals meet its branches in `SALTS` tasks, dealt
+by segment; a window sees only the branches of a node that stay apart.
 
 Defined results: a null url, or one without `://`, has an empty host and path, and belongs to the
 empty template of the empty host. Repeated pages count as often as they occur. Several labels of one
@@ -20,10 +23,13 @@ page count as good only if all are. Without labels nothing is rejected unless `p
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialise
+from .common import ascii_lower, joinable, materialise
+
+#: The branches of a node are dealt to as many tasks.
+SALTS = 16
 
 #: Fixed by the query's contract: (verdict, host and path prefix).
 RULES = (
@@ -65,6 +71,26 @@ AGAINST_REST = [
 ]
 
 
+def proportions(m: str, g: str, other_m: str, other_g: str) -> str:
+    """SQL of the two-proportion z statistic of two smoothed shares, g of m each."""
+    both = f"(({g} + {other_g} + 2) / double({m} + {other_m} + 4))"
+    apart = f"abs(({g} + 1) / double({m} + 2) - ({other_g} + 1) / double({other_m} + 2))"
+    return f"{apart} / sqrt({both} * (1 - {both}) * (1 / double({m} + 2) + 1 / double({other_m} + 2)))"
+
+
+def named(fixed: DataFrame, z: float) -> DataFrame:
+    """(host, template, segment, name): branches that stay apart, those like each other under one name."""
+    node = ["host", "template"]
+    order = Window.partitionBy(*node).orderBy("p", "segment")
+    chain = (
+        fixed.withColumn("p", F.expr("(g + 1) / double(m + 2)")).withColumns({"last_m": F.lag("m").over(order), "last_g": F.lag("g").over(order)})
+        .withColumn("part", F.sum(F.coalesce(F.expr(proportions("m", "g", "last_m", "last_g")) >= z, F.lit(True)).cast("int")).over(order))
+    )
+    alike = Window.partitionBy(*node, "part")
+    size = F.count("*").over(alike)
+    return chain.select(*node, "segment", F.when(size > 1, F.concat(F.min("segment").over(alike), F.lit("#"), size)).otherwise(F.col("segment")).alias("name"))
+
+
 def templates(rows: DataFrame, depth: int, share: float, z: float) -> DataFrame:
     """`rows` (host, segments, good: 1, 0 or null) with `template`, level by level."""
     rows = rows.withColumn("template", F.lit(""))
@@ -73,21 +99,16 @@ def templates(rows: DataFrame, depth: int, share: float, z: float) -> DataFrame:
     while level < depth or divisible(rows, level, z):
         rows = rows.withColumn("segment", F.get("segments", F.lit(level)))
         branches = rows.where("segment IS NOT NULL").groupBy("host", "template", "segment").agg(*seen)
-        nodes = branches.groupBy("host", "template").agg(*(F.sum(c).alias(f"node_{c}") for c in "nmg"), F.count_if(F.col("m") > 0).alias("tested"))
-        tests = nodes.agg(F.greatest(F.sum("tested"), F.lit(2)).alias("tests"))
-        p, q = F.expr("(g + 1) / (m + 2)"), F.expr("(node_g - g + 1) / (node_m - m + 2)")
-        both = F.expr("(node_g + 2) / (node_m + 4)")
-        apart = F.abs(p - q) / F.sqrt(both * (1 - both) * F.expr("1 / (m + 2) + 1 / (node_m - m + 2)"))
+        branches = materialise(branches.withColumn("salt", F.pmod(F.xxhash64("segment"), F.lit(SALTS))), f"url-branches{level}")
+        nodes = branches.groupBy("host", "template").agg(*(F.sum(c).alias(f"node_{c}") for c in "nmg"))
+        tests = branches.agg(F.greatest(F.count_if(F.col("m") > 0), F.lit(2)).alias("tests"))  # one row
+        nodes = nodes.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
         told = (F.col("node_m") > 0) & (surprise(AGAINST_REST) >= F.lit(z * z) + 2 * F.ln("tests"))
-        common = (F.col("n") >= F.lit(share) * F.col("node_n")) & (apart >= F.lit(z))
-        fixed = (
-            branches.join(nodes, ["host", "template"]).crossJoin(F.broadcast(tests))
-            .where(told | common if level < depth else told)
-            .select("host", "template", "segment", F.lit(True).alias("fixed"))
-        )
-        name = F.when(F.col("fixed"), F.col("segment")).otherwise(F.lit("*"))
-        grown = F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), name))
-        rows = rows.join(fixed, ["host", "template", "segment"], "left").withColumn("template", grown).drop("fixed", "segment")
+        common = (F.col("n") >= F.lit(share) * F.col("node_n")) & (F.expr(proportions("m", "g", "(node_m - m)", "(node_g - g)")) >= F.lit(z))
+        fixed = branches.join(nodes, ["host", "template", "salt"]).crossJoin(F.broadcast(tests)).where(told | common if level < depth else told)
+        fixed = joinable(named(fixed, z), f"url-fixed{level}")
+        grown = F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), F.coalesce("name", F.lit("*"))))
+        rows = rows.join(fixed, ["host", "template", "segment"], "left").withColumn("template", grown).drop("name", "segment")
         rows = materialise(rows, f"url-level{level}")
         level += 1
     last = F.regexp_replace("template", rf"(?s)\A((?:/[^/]*){{{depth}}}.*?)(?:/\*)*\z", "$1")  # wildcards below `depth` and the last branch
@@ -126,21 +147,28 @@ def judge(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str], ...
 
 
 def judge_sql(depth: int = 3, share: float = 0.05, z: float = 1.96, prior: float = 20.0, purity: float = 0.6) -> str:
-    """The same in DuckDB SQL, for the `pages` and `labels` views."""
+    """The same in DuckDB SQL, for the `pages` and `labels` views, whose paths have at most `depth` segments."""
+    plain = lambda test: test.replace("double(", "(1.0::DOUBLE * ")
+    terms = [f"(CASE WHEN ({o}) > 0 THEN ({o}) * ln((({o}) / nullif({plain(e)}, 0))::DOUBLE) ELSE 0 END)" for o, e in AGAINST_REST]
     levels = []
     for k in range(depth):
         levels.append(f"""
-        b{k} AS (SELECT host, template, segments[{k + 1}] AS segment, count(*) AS n, count(good) AS m, coalesce(sum(good), 0) AS g
+        b{k} AS (SELECT host, template, segments[{k + 1}] AS segment, count(*) AS n, count(good) AS m, coalesce(sum(good), 0)::BIGINT AS g
                  FROM r{k} WHERE len(segments) > {k} GROUP BY ALL),
-        n{k} AS (SELECT host, template, sum(n) AS nn, sum(m) AS nm, sum(g) AS ng FROM b{k} GROUP BY ALL),
-        f{k} AS (SELECT host, template, segment FROM b{k} JOIN n{k} USING (host, template)
-                 WHERE n >= {share} * nn
-                   AND abs((g + 1) / (m + 2)::DOUBLE - (ng - g + 1) / (nm - m + 2)::DOUBLE)
-                     / sqrt((ng + 2) / (nm + 4)::DOUBLE * (1 - (ng + 2) / (nm + 4)::DOUBLE) * (1 / (m + 2)::DOUBLE + 1 / (nm - m + 2)::DOUBLE)) >= {z}),
+        n{k} AS (SELECT host, template, sum(n)::BIGINT AS node_n, sum(m)::BIGINT AS node_m, sum(g)::BIGINT AS node_g FROM b{k} GROUP BY ALL),
+        t{k} AS (SELECT greatest(count(*) FILTER (WHERE m > 0), 2) AS tests FROM b{k}),
+        f{k} AS (SELECT host, template, segment, m, g, (g + 1) / (m + 2)::DOUBLE AS p FROM b{k} JOIN n{k} USING (host, template), t{k}
+                 WHERE (n >= {share} * node_n AND {plain(proportions("m", "g", "(node_m - m)", "(node_g - g)"))} >= {z})
+                    OR (node_m > 0 AND 2.0 * ({" + ".join(terms)}) >= {z * z} + 2 * ln(tests::DOUBLE))),
+        c{k} AS (SELECT *, lag(m) OVER w AS last_m, lag(g) OVER w AS last_g FROM f{k} WINDOW w AS (PARTITION BY host, template ORDER BY p, segment)),
+        d{k} AS (SELECT *, sum(coalesce({plain(proportions("m", "g", "last_m", "last_g"))} >= {z}, true)::INT)
+                             OVER (PARTITION BY host, template ORDER BY p, segment) AS part FROM c{k}),
+        e{k} AS (SELECT host, template, segment, CASE WHEN count(*) OVER w > 1 THEN min(segment) OVER w || '#' || count(*) OVER w ELSE segment END AS name
+                 FROM d{k} WINDOW w AS (PARTITION BY host, template, part)),
         r{k + 1} AS (SELECT page_id, r.host, path, good, segments,
                  CASE WHEN len(segments) <= {k} THEN r.template
-                      ELSE r.template || '/' || coalesce(f.segment, '*') END AS template
-                 FROM r{k} r LEFT JOIN f{k} f ON r.host = f.host AND r.template = f.template AND r.segments[{k + 1}] = f.segment)""")
+                      ELSE r.template || '/' || coalesce(e.name, '*') END AS template
+                 FROM r{k} r LEFT JOIN e{k} e ON r.host = e.host AND r.template = e.template AND r.segments[{k + 1}] = e.segment)""")
     fits = []
     for verdict, rule in sorted(RULES, key=lambda r: (-len(r[1]), r[1])):
         domain, _, prefix = rule.partition("/")

@@ -50,6 +50,33 @@ def test_small_and_deep_branches_with_evidence_stay_apart(spark):
     assert any(r.template == "/s7/*" for r in found) and any(r.template.endswith("/bad/**") for r in found)
 
 
+def test_branches_like_each_other_are_merged_as_in_sql(spark, duck, tmp_path):
+    """Six sections: two bad, two fair, two good ones; each pair is one template, and only the bad ones are blocked. SQL agrees."""
+    share = {"ads": 9, "spam": 9, "shop": 2, "misc": 2, "news": 0, "blog": 0}  # bad pages of ten
+    pages, labels = [], []
+    for k, (section, bad) in enumerate(share.items()):
+        for i in range(400):
+            pages.append((k * 1000 + i, f"http://{'H' if i % 2 else 'h'}/{section}/{i}", ""))
+            labels.append((k * 1000 + i, int(i % 10 >= bad), 0))
+    pages += [(90_000 + i, f"http://other/a/{i}/", "") for i in range(2000)]
+    labels += [(90_000 + i, 1, 0) for i in range(2000)]
+    pages += [(95_000, "http://h/" + "/".join("x" * 3000), ""), (95_001, "http://h/" + "y" * 200_000, "")]
+    frames = {"pages": spark.createDataFrame(pages, PAGES), "labels": spark.createDataFrame(labels, "doc_id long, quality int, toxic int")}
+    found = url_filter.judge(frames["pages"], frames["labels"]).collect()
+    by = {}
+    for r in found:
+        by.setdefault((r.host, r.template), set()).add(r.path.split("/")[1])
+    groups = {frozenset(v) for (h, t), v in by.items() if h == "h" and "#" in t}
+    assert {frozenset({"ads", "spam"}), frozenset({"shop", "misc"}), frozenset({"news", "blog"})} == groups
+    assert {r.path.split("/")[1] for r in found if r.verdict == "block"} == {"ads", "spam"}
+    for name, frame in frames.items():
+        rows = frame.where("page_id < 95000") if name == "pages" else frame  # the SQL walks three levels
+        rows.write.parquet(str(tmp_path / name))
+        duck.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS SELECT * FROM '{tmp_path / name}/*.parquet'")
+    wanted = {r[0]: r[1:] for r in duck.sql(f"SELECT page_id, host, path, rule, verdict FROM ({url_filter.judge_sql()})").fetchall()}
+    assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in found if r.page_id < 95_000} == wanted
+
+
 MIX = "doc_id long, text string, lang string, source string, tokens string, quota string"
 
 
