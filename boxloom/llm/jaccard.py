@@ -243,7 +243,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, root): each node of `edges` (a, b) with the smallest node that it is connected to.
 
-    Large-star and small-star by turns, each a join-free aggregation, until neither changes anything;
+    Large-star and small-star by turns, each an aggregation and a join with its result, until neither changes anything;
     a hub's neighbours shrink to one edge each, and counts are compared, nothing is collected.
     """
     both = lambda e: e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
