@@ -57,26 +57,20 @@ def satisfied_share(boxes: list[tuple[Column, Column, Column]]) -> Column:
     return total([inside(*b).cast("double") for b in boxes]) / F.lit(float(len(boxes)))
 
 
-def score(boxes: list[tuple[Column, Column, Column]], mode: str, penalty: float = 1e6) -> Column:
-    """Violation score, 0 at best, with +1 where all boxes hold.
+def score(boxes: list[tuple[Column, Column, Column]], mode: str, weights: list[float] | None = None, penalty: float = 1e6) -> Column:
+    """1 where all boxes hold, else 0; but for mode `hard`, less the weighted violations.
 
-    `l1` and `l2` sum distances over widths (squared for l2), `hard` counts violations. Inverted
-    bounds are swapped; a missing value costs `penalty`.
+    `l1` and `l2` sum distances over widths (squared for l2); a missing value costs `penalty`. Inverted
+    bounds are swapped.
     """
-
     swap = lambda lo, hi: (F.when(hi < lo, hi).otherwise(lo), F.when(hi < lo, lo).otherwise(hi))
-
-    def one(v: Column, lo: Column, hi: Column) -> Column:
-        low, high = swap(lo, hi)
-        if mode == "hard":
-            term = (~inside(v, low, high)).cast("double")
-        else:
-            term = F.pow(distance(v, low, high) / width(low, high), F.lit({"l1": 1.0, "l2": 2.0}[mode]))
-        return F.when(clean(v).isNull(), F.lit(penalty)).otherwise(term)
-
     ordered = [(v, *swap(lo, hi)) for v, lo, hi in boxes]
-    bonus = F.when(reduce(lambda a, b: a & b, [inside(*b) for b in ordered]), F.lit(1.0)).otherwise(F.lit(0.0))
-    return bonus - total([one(*b) for b in boxes])
+    held = F.when(reduce(lambda a, b: a & b, [inside(*b) for b in ordered]), F.lit(1.0)).otherwise(F.lit(0.0))
+    if mode == "hard":
+        return held
+    power = {"l1": 1.0, "l2": 2.0}[mode]
+    each = [F.when(clean(v).isNull(), F.lit(penalty)).otherwise(F.pow(distance(v, lo, hi) / width(lo, hi), F.lit(power))) for v, lo, hi in ordered]
+    return held - total([F.lit(w) * e for w, e in zip(weights or [1.0] * len(each), each)])
 
 
 def bucket(value: Column, lo: Column, hi: Column, sigma: Column, k: float = 1.0) -> Column:

@@ -55,25 +55,38 @@ def auc(rows: DataFrame, score: str, label: str, by: list[str] | None = None) ->
     return sums.select(*by, "pos", "neg", area.alias("auc"))
 
 
-def set_metrics(rows: DataFrame, by: str, order: str, score: str, label: str) -> DataFrame:
-    """Per set of two or more: top-1 label, best, mean, regret, random regret, pair accuracy, NDCG at 1, Spearman.
+def set_metrics(rows: DataFrame, by: str, order: str, score: str, label: str, base: str | None = None) -> DataFrame:
+    """Per set of two or more: top-1 hit, best, mean, regret, random regret, pair accuracies, NDCG at 1, Spearman; with `base`, a baseline's hit and regret.
 
-    The pick is the highest score, the first by `order` among ties. Pairs are within a set, which is a
-    handful of candidates.
+    The pick is the highest score, the first by `order` among ties. Pair accuracies (plain and weighted by the
+    gap of the labels), NDCG and Spearman are null for sets without two different labels. Pairs are within a
+    set, which is a handful of candidates.
     """
-    sizes = rows.groupBy(by).agg(F.count("*").alias("n"), F.max(label).alias("best"), F.avg(label).alias("mean")).where("n > 1")
-    pick = rows.groupBy(by).agg(F.max_by(label, F.struct(F.col(score), (-F.col(order)).alias("o"))).alias("picked"))
-    a, b = rows.select(by, F.col(score).alias("s"), F.col(label).alias("l"), F.col(order).alias("o")), rows.select(
-        by, F.col(score).alias("t"), F.col(label).alias("m"), F.col(order).alias("q")
-    )
-    pairs = a.join(b, by).where("o < q AND l <> m").groupBy(by).agg(F.avg((F.signum(F.col("s") - F.col("t")) == F.signum(F.col("l") - F.col("m"))).cast("double")).alias("pair_acc"))
-    ndcg = F.when(F.col("best") <= 0, F.lit(1.0)).otherwise(F.col("picked") / F.col("best"))
-    return sizes.join(pick, by).join(pairs, by, "left").join(correlations(rows, [by], score, label).select(by, "rho"), by).select(
-        by, "n", "picked", "best", (F.col("best") - F.col("picked")).alias("regret"), (F.col("best") - F.col("mean")).alias("regret_random"),
-        "pair_acc", ndcg.alias("ndcg1"), "rho",
+    first = lambda c: F.max_by(label, F.struct(F.col(c), (-F.col(order)).alias("o")))
+    picks = [first(score).alias("picked"), *([first(base).alias("base_pick")] if base else [])]
+    each = rows.groupBy(by).agg(F.count("*").alias("n"), F.max(label).alias("best"), F.avg(label).alias("mean"), *picks).where("n > 1")
+    a, b = rows.select(by, F.col(score).alias("s"), F.col(label).alias("l")), rows.select(by, F.col(score).alias("t"), F.col(label).alias("m"))
+    gap, won = F.col("l") - F.col("m"), (F.col("s") > F.col("t")).cast("double")
+    pairs = a.join(b, by).where("l - m > 1e-9").groupBy(by).agg(F.avg(won).alias("pair_acc"), (F.sum(won * gap) / F.sum(gap)).alias("pair_acc_w"))
+    ndcg = F.when(F.col("pair_acc").isNull(), None).when(F.col("best") > 0, F.col("picked") / F.col("best")).otherwise(F.lit(1.0))
+    hit = lambda c: (F.col(c) >= F.col("best") - 1e-9).cast("double")
+    extra = [hit("base_pick").alias("top1_baseline"), (F.col("best") - F.col("base_pick")).alias("regret_baseline")] if base else []
+    return each.join(pairs, by, "left").join(correlations(rows, [by], score, label).select(by, "rho"), by).select(
+        by, "n", "picked", "best", hit("picked").alias("top1"), (F.col("best") - F.col("picked")).alias("regret"), (F.col("best") - F.col("mean")).alias("regret_random"),
+        "pair_acc", "pair_acc_w", ndcg.alias("ndcg1"), F.when(F.col("pair_acc").isNotNull(), F.col("rho")).alias("rho"), *extra,
     )
 
 
+def losses(rows: DataFrame, by: str, score: str, label: str) -> DataFrame:
+    """(value_loss, ranking_loss): the mean squared error of the score, and the mean over ordered pairs of a set of
+    -log sigmoid of the score difference, weighted by the label gap. Scores are chances or logits of moderate size."""
+    value = rows.where(F.col(label).isNotNull()).agg(F.avg(F.pow(F.col(score) - F.col(label), F.lit(2.0))).alias("value_loss"))
+    a, b = rows.select(by, F.col(score).alias("s"), F.col(label).alias("l")), rows.select(by, F.col(score).alias("t"), F.col(label).alias("m"))
+    gap = F.col("l") - F.col("m")
+    pairs = a.join(b, by).where("l - m > 1e-6").agg((F.sum(gap * F.log1p(F.exp(F.col("t") - F.col("s")))) / F.sum(gap)).alias("ranking_loss"))
+    return value.crossJoin(F.broadcast(pairs))  # one row each
+
+
 def calibration(rows: DataFrame, chance: str, label: str, bins: int) -> DataFrame:
     """Expected calibration error over equal-width bins of the predicted chance."""
     cell = F.least(F.greatest(F.floor(F.col(chance) * bins), F.lit(0)), F.lit(bins - 1))

@@ -78,11 +78,26 @@ def top1_by_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ranking_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ranks.set_metrics(_candidates(spark, sf_dir), "l_orderkey", "pos", "l_extendedprice", "l_discount")
-    names = ("picked", "best", "regret", "regret_random", "pair_acc", "ndcg1", "rho")
+    """Price as the score, quantity as the baseline's, discount as the label."""
+    found = ranks.set_metrics(_candidates(spark, sf_dir), "l_orderkey", "pos", "l_extendedprice", "l_discount", base="l_quantity")
+    names = ("picked", "best", "top1", "regret", "regret_random", "pair_acc", "pair_acc_w", "ndcg1", "rho", "top1_baseline", "regret_baseline")
     return found.agg(F.count("*").alias("sets"), *(F.round(F.avg(c), 6).alias(c) for c in names))
 
 
+def ranking_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price over 100,000 as the score, discount times ten as the label."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_extendedprice") / 1e5).alias("s"), (F.col("l_discount") * 10).alias("y"))
+    return ranks.losses(rows, "l_orderkey", "s", "y").select(F.round("value_loss", 6).alias("value_loss"), F.round("ranking_loss", 6).alias("ranking_loss"))
+
+
+def rank_auc_centred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over all documents, with each language's mean length taken off."""
+    rows = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), "doc_id")
+    mean = rows.groupBy("lang").agg((F.sum("n_chars") / F.count("*")).alias("mean"))  # one row a language
+    centred = rows.join(mean, "lang").select("quality", F.round(F.col("n_chars") - F.col("mean"), 6).alias("x"))
+    return ranks.auc(centred, "x", "quality").select("pos", "neg", F.round("auc", 6).alias("auc"))
+
+
 def ece_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discount over 0.1 as a chance of a return flag of R."""
     rows = table(spark, sf_dir, "lineitem").select((F.col("l_discount") * 10).alias("q"), (F.col("l_returnflag") == "R").cast("double").alias("y"))
@@ -128,7 +143,7 @@ def elimination_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (dense_rank_ties, margin_to_best_other, tie_averaged_ranks, group_mean_centring, history_lag, within_set_spearman, rank_auc,
-                            top1_by_score, ranking_metrics, ece_calibration, run_summary, tiered_column_pick, cascade_verdict, elimination_order)
+                            top1_by_score, ranking_metrics, ranking_losses, rank_auc_centred, ece_calibration, run_summary, tiered_column_pick, cascade_verdict, elimination_order)
 }
 
 _K = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
@@ -170,12 +185,27 @@ ORACLE_SQL = {
                      avg(l_discount) AS random, max(l_discount) AS oracle FROM c GROUP BY 1)
         SELECT round(avg(low), 6) AS low, round(avg(high), 6) AS high, round(avg(random), 6) AS random, round(avg(oracle), 6) AS oracle, count(*) AS sets FROM e""",
     "ranking_metrics": f"""{_C}, {_RHO},
-        s AS (SELECT l_orderkey, count(*) AS n, max(l_discount) AS best, avg(l_discount) AS mean, arg_max(l_discount, (l_extendedprice, -pos)) AS picked FROM c GROUP BY 1 HAVING count(*) > 1),
-        p AS (SELECT a.l_orderkey, avg((sign(a.l_extendedprice - b.l_extendedprice) = sign(a.l_discount - b.l_discount))::INT::DOUBLE) AS pair_acc
-              FROM c a JOIN c b ON a.l_orderkey = b.l_orderkey AND a.pos < b.pos AND a.l_discount <> b.l_discount GROUP BY 1)
-        SELECT count(*) AS sets, round(avg(picked), 6) AS picked, round(avg(best), 6) AS best, round(avg(best - picked), 6) AS regret, round(avg(best - mean), 6) AS regret_random,
-               round(avg(pair_acc), 6) AS pair_acc, round(avg(CASE WHEN best <= 0 THEN 1.0 ELSE picked / best END), 6) AS ndcg1, round(avg(rho), 6) AS rho
+        s AS (SELECT l_orderkey, count(*) AS n, max(l_discount) AS best, avg(l_discount) AS mean, arg_max(l_discount, (l_extendedprice, -pos)) AS picked,
+                     arg_max(l_discount, (l_quantity, -pos)) AS base FROM c GROUP BY 1 HAVING count(*) > 1),
+        p AS (SELECT a.l_orderkey, avg((a.l_extendedprice > b.l_extendedprice)::INT::DOUBLE) AS pair_acc,
+                     sum((a.l_extendedprice > b.l_extendedprice)::INT * (a.l_discount - b.l_discount)) / sum(a.l_discount - b.l_discount) AS pair_acc_w
+              FROM c a JOIN c b ON a.l_orderkey = b.l_orderkey AND a.l_discount - b.l_discount > 1e-9 GROUP BY 1)
+        SELECT count(*) AS sets, round(avg(picked), 6) AS picked, round(avg(best), 6) AS best, round(avg((picked >= best - 1e-9)::INT::DOUBLE), 6) AS top1,
+               round(avg(best - picked), 6) AS regret, round(avg(best - mean), 6) AS regret_random, round(avg(pair_acc), 6) AS pair_acc, round(avg(pair_acc_w), 6) AS pair_acc_w,
+               round(avg(CASE WHEN pair_acc IS NULL THEN NULL WHEN best > 0 THEN picked / best ELSE 1.0 END), 6) AS ndcg1,
+               round(avg(CASE WHEN pair_acc IS NOT NULL THEN rho END), 6) AS rho,
+               round(avg((base >= best - 1e-9)::INT::DOUBLE), 6) AS top1_baseline, round(avg(best - base), 6) AS regret_baseline
         FROM s LEFT JOIN p USING (l_orderkey) JOIN e USING (l_orderkey)""",
+    "ranking_losses": """
+        WITH r AS (SELECT l_orderkey, l_extendedprice / 1e5 AS s, l_discount * 10 AS y FROM lineitem),
+        p AS (SELECT a.y - b.y AS gap, ln(1 + exp(b.s - a.s)) AS loss FROM r a JOIN r b ON a.l_orderkey = b.l_orderkey AND a.y - b.y > 1e-6)
+        SELECT round((SELECT avg(power(s - y, 2)) FROM r), 6) AS value_loss, round((SELECT sum(gap * loss) / sum(gap) FROM p), 6) AS ranking_loss""",
+    "rank_auc_centred": """
+        WITH j AS (SELECT quality, lang, n_chars FROM labels JOIN documents USING (doc_id)),
+        x AS (SELECT quality AS y, round(n_chars - sum(n_chars) OVER (PARTITION BY lang) / (count(*) OVER (PARTITION BY lang))::DOUBLE, 6) AS x FROM j),
+        r AS (SELECT y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS r FROM x)
+        SELECT sum(y)::BIGINT AS pos, (count(*) - sum(y))::BIGINT AS neg,
+               round((sum(r * y) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))), 6)::DOUBLE AS auc FROM r""",
     "ece_calibration": """
         WITH r AS (SELECT l_discount * 10 AS q, (l_returnflag = 'R')::INT::DOUBLE AS y FROM lineitem),
         b AS (SELECT least(greatest(floor(q * 10), 0), 9) AS bin, count(*) AS n, avg(q) AS q, avg(y) AS y FROM r GROUP BY 1)
