@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,3 +30,13 @@ def split_of(seed: str, key: Column, test: float, val: float) -> Column:
 def stable_id(text: Column, length: int = 16) -> Column:
     """A prefix of the SHA-256 of a canonical text."""
     return F.substring(F.sha2(text, 256), 1, length)
+
+
+def blake_uniform(seed: str, key: Column) -> Column:
+    """The first 64 bits of a BLAKE2b of `seed:key` as a share. No built-in function has this hash, so Arrow batches go to Python."""
+
+    @F.pandas_udf("double")
+    def share(keys: pd.Series) -> pd.Series:
+        return keys.map(lambda k: int.from_bytes(hashlib.blake2b(f"{seed}:{k}".encode(), digest_size=8).digest(), "big") / float(1 << 64))
+
+    return share(F.coalesce(key.cast("string"), F.lit("")))
