@@ -50,21 +50,20 @@ def numbered_attachments(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("[*:")), text).otherwise(joined)
 
 
-# Words whose plural has no rule.
-IRREGULAR = {"halides": "halide", "aldehydes": "aldehyde", "amides": "amide", "azides": "azide", "ketones": "ketone"}
+# Names that no rule gives.
+IRREGULAR = {"coo2": "carboxylic acid"}
 
 
 def singular(word: Column) -> Column:
     """A lower-case word without its plural ending."""
-    out = word
-    for plural, one in IRREGULAR.items():
-        out = F.when(word == plural, F.lit(one)).otherwise(out)
     cut = lambda n: F.substr(word, F.lit(1), F.length(word) - n)
-    ruled = (
+    out = (
         F.when(word.endswith("ies"), F.concat(cut(3), F.lit("y"))).when(word.rlike("(ses|xes|zes|ches|shes)$"), cut(2))
         .when(word.endswith("s") & ~word.endswith("ss"), cut(1)).otherwise(word)
     )
-    return F.when(word.isin(*IRREGULAR), out).otherwise(ruled)
+    for plural, one in IRREGULAR.items():
+        out = F.when(word == plural, F.lit(one)).otherwise(out)
+    return out
 
 
 def label(description: Column) -> Column:
@@ -73,12 +72,19 @@ def label(description: Column) -> Column:
     core = F.rtrim(F.regexp_replace(core, " groups?$", ""))
     words = F.split(core, " +")
     head = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.array_join(F.concat(head, F.array(singular(F.element_at(words, -1)))), " ")
+    named = F.array_join(F.concat(head, F.array(singular(F.element_at(words, -1)))), " ")
+    for mark, name in IRREGULAR.items():
+        named = F.when(F.contains(F.lower(description), F.lit(mark)), F.lit(name)).otherwise(named)
+    return named
+
+
+# Endings of a text, in any case, after which a point does not end a sentence.
+ABBREVIATIONS = ("i\\.e", "e\\.g", "etc", "vs", "approx", "cf", "Fig", "No", "Dr", "Mr", "Ms", "St")
 
 
 def sentences(text: Column) -> Column:
     """Sentences of a text; a common abbreviation does not end one."""
-    held = F.regexp_replace(text, "\\b(e\\.g|i\\.e|etc|vs|cf|Fig|Dr|approx)\\.[ \\t\\r\\n]+", "$1.\u0001")
+    held = F.regexp_replace(F.trim(text), f"(?i)({'|'.join(ABBREVIATIONS)})\\.[ \\t\\r\\n]+", "$1.\u0001")
     cut = F.regexp_replace(held, "([.!?])[ \\t\\r\\n]+", "$1\u0002")
     parts = F.transform(F.split(cut, "\u0002"), lambda s: F.replace(s, F.lit("\u0001"), F.lit(" ")))
     return F.filter(parts, lambda s: F.trim(s) != "")

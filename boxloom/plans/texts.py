@@ -121,9 +121,9 @@ def segment_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (label_normalisation, sentence_split, attachment_numbers, atom_labels, clean_reasoning, span_parsing, verification_block, port_ranges,
                                    negation_guard, bounds_round_trip, calls_with_replies, feature_split, record_merge, segment_merge)}
 
-_ONE = """CASE WHEN {0} IN ('halides', 'aldehydes', 'amides', 'azides', 'ketones') THEN left({0}, -1) WHEN {0} LIKE '%ies' THEN left({0}, -3) || 'y'
-          WHEN regexp_matches({0}, '(ses|xes|zes|ches|shes)$') THEN left({0}, -2) WHEN {0} LIKE '%s' AND {0} NOT LIKE '%ss' THEN left({0}, -1) ELSE {0} END"""
-_SENTENCES = r"""list_filter(list_transform(string_split(regexp_replace(regexp_replace(text, '\b(e\.g|i\.e|etc|vs|cf|Fig|Dr|approx)\.[ \t\r\n]+', '\1.' || chr(1), 'g'),
+_ONE = """CASE WHEN {0} LIKE '%ies' THEN left({0}, -3) || 'y' WHEN regexp_matches({0}, '(ses|xes|zes|ches|shes)$') THEN left({0}, -2)
+          WHEN {0} LIKE '%s' AND {0} NOT LIKE '%ss' THEN left({0}, -1) ELSE {0} END"""
+_SENTENCES = rf"""list_filter(list_transform(string_split(regexp_replace(regexp_replace(trim(text, ' '), '(?i)({'|'.join(text.ABBREVIATIONS)})\.[ \t\r\n]+', '\1.' || chr(1), 'g'),
                 '([.!?])[ \t\r\n]+', '\1' || chr(2), 'g'), chr(2)), lambda s: replace(s, chr(1), ' ')), lambda s: trim(s, ' ') <> '')"""
 _NUMBER = r"regexp_replace(printf('%.3f', {0}::DOUBLE), '\.?0+$', '')"
 _GUARD = r"""len(list_filter(regexp_split_to_array({0}, '[,;.!?]'), lambda c: regexp_matches(c, '\bthe\b') AND NOT regexp_matches(
