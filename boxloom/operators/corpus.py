@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def prefix_of(ident: Column) -> Column:
     """What stands before the first `__` of a group id, empty without one."""
-    return F.regexp_extract(ident, "^([^\"]+?)__", 1)
+    return F.when(F.instr(ident, "__") > 0, F.substring_index(ident, "__", 1)).otherwise("")
 
 
 def task_of(ident: Column) -> Column:
@@ -17,15 +17,37 @@ def task_of(ident: Column) -> Column:
 
 
 def drop_polluted(rows: DataFrame, group: str, polluted: Column) -> DataFrame:
-    """All rows of groups in which no row is polluted. A missing group id counts as a group of its own."""
+    """All rows of groups in which no row is polluted. A missing group id counts as a group of its own, decided by one aggregate."""
     bad = rows.where(polluted).select(F.col(group).alias("_bad")).distinct()
-    return rows.join(bad, rows[group].eqNullSafe(bad["_bad"]), "left_anti")
+    named = rows.where(F.col(group).isNotNull()).join(bad, rows[group] == bad["_bad"], "left_anti")
+    fine = bad.where("_bad IS NULL").agg((F.count("*") == 0).alias("_fine"))  # one row
+    return named.unionByName(rows.where(F.col(group).isNull()).crossJoin(F.broadcast(fine)).where("_fine").drop("_fine"))
 
 
 def keep_first(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key; unlike dropDuplicates, which keeps any."""
-    nth = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
-    return rows.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    """The first row of each key in a total order; unlike dropDuplicates, which keeps any. Partial aggregates on a digest of
+    the key find it, so neither long keys nor all rows of a hot key are gathered."""
+    digest = F.sha2(F.to_json(F.struct(*(F.col(k).alias(f"k{i}") for i, k in enumerate(key)))), 256)
+    first = rows.groupBy(digest.alias("_d")).agg(F.min(F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order)))).alias("_o"))
+    return rows.withColumn("_d", digest).withColumn("_o", F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order)))).join(first, ["_d", "_o"], "left_semi").drop("_d", "_o")
+
+
+def repaired(old: Column, fresh: Column, committed: Column) -> tuple[Column, Column]:
+    """(reply, why): the recomputed reply, but the stored one where that is empty or lacks the committed edit."""
+    missing = committed.isNotNull() & ~F.array_contains(fresh, committed)
+    empty = F.size(fresh) <= 0
+    why = F.when(missing, "still_missing").when(empty, "still_empty").when(fresh == old, "identical").otherwise("rewritten")
+    return F.when(missing | empty, old).otherwise(fresh), why
+
+
+def accepted_revision(text: Column, violations: Column, revisions: Column) -> Column:
+    """(text, violations) after revisions in order, each taken only if it has strictly fewer violations; the first that has not ends it, as no violation does."""
+    start = F.struct(text.alias("text"), violations.alias("violations"), F.lit(True).alias("open"))
+    better = lambda a, r: a["open"] & (a["violations"] > 0) & (r["violations"] < a["violations"])
+    step = lambda a, r: F.when(better(a, r), F.struct(r["text"].alias("text"), r["violations"].alias("violations"), F.lit(True).alias("open"))).otherwise(
+        F.struct(a["text"].alias("text"), a["violations"].alias("violations"), F.lit(False).alias("open"))
+    )
+    return F.aggregate(revisions, start, step)
 
 
 def rekey(delta: DataFrame, base: DataFrame, task: str, ident: str, order: list[str]) -> DataFrame:

@@ -52,16 +52,14 @@ class Search:
     """State-space search over numbers: an instance moves its value by edits towards its box [lo, hi].
 
     `instances`: id, value, lo, hi. `edits`: edit, delta. All instances step together; a level is one
-    join with the edits (whose number is the branching factor, checked) and one window, and solved
-    instances leave the frontier. Lineage is cut by `checkpoint` each level.
+    join with the edits (every edit is tried at each state; a table of up to `SMALL` of them is broadcast)
+    and one or two windows, and solved instances leave the frontier. Lineage is cut by `checkpoint` each level.
     """
 
-    MOST_EDITS = 1000
+    SMALL = 1000
 
     def __init__(self, edits: DataFrame):
-        if edits.limit(self.MOST_EDITS + 1).count() > self.MOST_EDITS:
-            raise ValueError("too many edits to try all of them at each state")
-        self.edits = F.broadcast(edits)
+        self.edits = F.broadcast(edits) if edits.limit(self.SMALL + 1).count() <= self.SMALL else edits
 
     @staticmethod
     def gap(value: Column) -> Column:
@@ -80,34 +78,63 @@ class Search:
         value = F.col("value").cast("double")
         return instances.select("id", "lo", "hi", value.alias("value"), self.gap(value).alias("gap"), F.array().cast("array<string>").alias("path"), F.array(value).alias("seen"))
 
-    def run(self, instances: DataFrame, depth: int, width: int | None) -> DataFrame:
-        """(id, value, gap, path) of each instance's best state: greedy for width 1, beam, or exhaustive for None.
+    def run(self, instances: DataFrame, depth: int, width: int | None, draw: str | None = None) -> DataFrame:
+        """(id, value, gap, path, cost) of each instance's best state: greedy for width 1, beam, or exhaustive for None.
 
-        The best is the smallest gap, then the shortest path, then the path itself.
+        A beam never builds a value again that any of its branches has built before; a greedy path only avoids
+        its own values, an exhaustive one those of each path. With `draw`, a seed, the next state is drawn
+        by hash instead: a random walk. The best is the smallest gap, then the shortest path, then the path
+        itself; `cost` is the number of states that were looked at.
         """
-        frontier = best = self.start(instances)
+        frontier = self.start(instances)
         order = ["gap", F.size("path"), F.array_join("path", ">")]
+        best = F.struct("gap", F.size("path").alias("n"), F.array_join("path", ">").alias("key"), "value", "path").alias("best")
+        tallies = frontier.select("id", F.lit(1).cast("bigint").alias("looked"), best)
+        built = None
         for _ in range(depth):
             children = self.expand(frontier.where("gap > 0"))
             if width is not None:
                 distinct = Window.partitionBy("id", "value").orderBy(*order)
                 children = children.withColumn("_nth", F.row_number().over(distinct)).where("_nth = 1").drop("_nth")
-                keep = Window.partitionBy("id").orderBy(*order)
-                children = children.withColumn("_nth", F.row_number().over(keep)).where(F.col("_nth") <= width).drop("_nth")
-            solved = children.where("gap = 0").select("id").distinct()
-            frontier = self.cut(children)
-            best = best.unionByName(frontier)
-            frontier = frontier.join(solved, "id", "left_anti")
-        nth = F.row_number().over(Window.partitionBy("id").orderBy(*order))
-        return best.withColumn("_nth", nth).where("_nth = 1").select("id", "value", "gap", "path")
+            if width is not None and width > 1 and built is not None:
+                children = children.join(built, ["id", "value"], "left_anti").select(*children.columns)
+            by = [F.md5(F.concat_ws(":", F.lit(draw), "id", F.array_join("path", ">")).cast("binary"))] if draw is not None else order
+            nth = F.row_number().over(Window.partitionBy("id").orderBy(*by))
+            if draw is not None:
+                children = children.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+            children = self.cut(children)
+            if width is not None and width > 1:
+                made = children.select("id", "value")
+                built = made if built is None else built.unionByName(made)
+            tally = children.groupBy("id").agg(F.count("*").alias("looked"), F.min(best).alias("best"))
+            tallies = tallies.unionByName(tally)
+            frontier = children
+            if width is not None and draw is None:
+                frontier = children.withColumn("_nth", nth).where(F.col("_nth") <= width).drop("_nth")
+            frontier = frontier.join(tally.where("best.gap = 0").select("id"), "id", "left_anti").select(*children.columns)
+        whole = tallies.groupBy("id").agg(F.sum("looked").alias("cost"), F.min("best").alias("best"))
+        return whole.select("id", "best.value", "best.gap", "best.path", "cost")
 
     def hybrid(self, instances: DataFrame, depth: int, width: int) -> DataFrame:
-        """Greedy first, a beam for what that leaves unsolved, the better of the two."""
+        """Greedy first, a beam for what that leaves unsolved, the better of the two; costs add up."""
         first = self.cut(self.run(instances, depth, 1))
         failed = instances.join(first.where("gap > 0").select("id"), "id", "left_semi")
         both = first.unionByName(self.run(failed, depth, width))
-        nth = F.row_number().over(Window.partitionBy("id").orderBy("gap", F.size("path"), F.array_join("path", ">")))
-        return both.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+        best = F.struct("gap", F.size("path").alias("n"), F.array_join("path", ">").alias("key"), "value", "path")
+        whole = both.groupBy("id").agg(F.sum("cost").alias("cost"), F.min(best).alias("best"))
+        return whole.select("id", "best.value", "best.gap", "best.path", "cost")
+
+    def labels(self, instances: DataFrame, depth: int) -> DataFrame:
+        """(id, edit, y_success, y_short, y_greedy) of every first edit of each unsolved instance, by looking ahead.
+
+        y_success: whether some path of `depth` edits that begins with it ends in the box; y_short: the
+        fewest edits of such a path; y_greedy: whether the greedy path after it does.
+        """
+        first = self.cut(self.expand(self.start(instances).where("gap > 0")).select(F.struct("id", F.col("path")[0].alias("edit")).alias("id"), "value", "lo", "hi", F.col("seen")[0].alias("origin")))
+        sought = lambda width: self.run(first.drop("origin"), depth - 1, width).select("id", (F.col("gap") == 0).alias("hit"), F.size("path").alias("more"))
+        full, greedy = sought(None), sought(1)
+        both = full.join(greedy.select("id", F.col("hit").alias("greedy")), "id")
+        return both.select("id.id", "id.edit", F.col("hit").alias("y_success"), F.when(F.col("hit"), F.col("more") + 1).alias("y_short"), F.col("greedy").alias("y_greedy"))
 
     @staticmethod
     def cut(df: DataFrame) -> DataFrame:

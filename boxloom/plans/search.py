@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import trees
+from ..operators import corpus, pairwise, trees
 from ..sources.tables import table
 
 
@@ -56,13 +56,49 @@ def _instances(spark: SparkSession, sf_dir: str) -> DataFrame:
 def search(width: int | None, spark: SparkSession, sf_dir: str) -> DataFrame:
     finder = trees.Search(spark.createDataFrame(_EDITS, "edit string, delta double"))
     found = finder.run(_instances(spark, sf_dir), 3, width)
-    return found.select("id", "value", "gap", F.size("path").alias("steps"), F.array_join("path", ">").alias("path"))
+    return found.select("id", "value", "gap", F.size("path").alias("steps"), F.array_join("path", ">").alias("path"), "cost")
 
 
 def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     finder = trees.Search(spark.createDataFrame(_EDITS, "edit string, delta double"))
     found = finder.hybrid(_instances(spark, sf_dir), 3, 2)
-    return found.select("id", "value", "gap", F.size("path").alias("steps"), F.array_join("path", ">").alias("path"))
+    return found.select("id", "value", "gap", F.size("path").alias("steps"), F.array_join("path", ">").alias("path"), "cost")
+
+
+def search_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A random walk of three edits, its best prefix."""
+    finder = trees.Search(spark.createDataFrame(_EDITS, "edit string, delta double"))
+    found = finder.run(_instances(spark, sf_dir), 3, 1, draw="4")
+    return found.select("id", "value", "gap", F.size("path").alias("steps"), F.array_join("path", ">").alias("path"), "cost")
+
+
+def candidate_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each first edit leads to within three."""
+    finder = trees.Search(spark.createDataFrame(_EDITS, "edit string, delta double"))
+    return finder.labels(_instances(spark, sf_dir), 3)
+
+
+def pairwise_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of price, tax and line number tells the larger discount of two lines of an order."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_discount", (F.col("l_extendedprice") / 1e5).alias("price"), (F.col("l_tax") * 10).alias("tax"), F.col("l_linenumber").alias("line"))
+    found = pairwise.importance(rows, "l_orderkey", "l_discount", ["price", "tax", "line"], folds=2, most=20_000)
+    return spark.createDataFrame(found, "feature string, accuracy double, loss double")
+
+
+def repaired_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Made stored and recomputed replies: kept where the recomputed one is empty or lacks what was committed."""
+    old, fresh = F.array("p_brand"), F.slice(F.array("p_type", "p_brand"), 1, F.pmod("p_size", F.lit(3)).cast("int"))
+    committed = F.when(F.pmod("p_partkey", F.lit(4)) == 0, F.col("p_brand")).when(F.pmod("p_partkey", F.lit(4)) == 1, F.col("p_type"))
+    kept, why = corpus.repaired(old, fresh, committed)
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(kept, ",").alias("reply"), why.alias("why"))
+
+
+def accepted_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Made revisions with their numbers of violations: taken while each has strictly fewer than the one before."""
+    step = lambda i, m: F.struct(F.concat(F.lit("v"), i.cast("string")).alias("text"), F.pmod(F.col("p_partkey") * i + F.col("p_size"), F.lit(m)).cast("int").alias("violations"))
+    revisions = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: step(i, 5))
+    best = corpus.accepted_revision(F.lit("v0"), F.pmod("p_size", F.lit(5)).cast("int"), revisions)
+    return table(spark, sf_dir, "part").select("p_partkey", best["text"].alias("text"), best["violations"].alias("violations"))
 
 
 def beam_step(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +115,8 @@ def trajectory_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(best.alias("o_orderkey"))
 
 
-QUERIES = {f.__name__: f for f in (tree_rollup, depth_summary, icc_by_depth, parent_child_states, hybrid_search, beam_step, trajectory_select)} | {
+QUERIES = {f.__name__: f for f in (tree_rollup, depth_summary, icc_by_depth, parent_child_states, hybrid_search, search_random, candidate_labels, pairwise_importance, repaired_replies, accepted_revisions, beam_step,
+                               trajectory_select)} | {
     "search_greedy": partial(search, 1), "search_beam": partial(search, 2), "search_exhaustive": partial(search, None),
 }
 
@@ -95,31 +132,42 @@ _TREE = """c AS (SELECT 'c' || c_custkey AS id, 'n' || c_nationkey AS parent, (c
               UNION ALL SELECT 0, 'root', count(*), sum(n_leaf), sum(n_sat), min(min_depth) FROM r2)"""
 
 
-def _search_sql(width: int | None, hybrid: bool = False) -> str:
-    """Exhaustive search as a recursive query; beams level by level."""
-    start = "SELECT p_partkey AS id, p_size::DOUBLE AS value, greatest(0.0, 24.0 - p_size, p_size - 24.5) AS gap, '' AS path, 0 AS steps, [p_size::DOUBLE] AS seen FROM part"
-    edits = "(VALUES ('a', 7.0::DOUBLE), ('b', -5.0::DOUBLE), ('c', 3.0::DOUBLE)) e(edit, delta)"
-
-    def levels(w: int | None, name: str) -> str:
-        out = [f"{name}0 AS ({start})"]
-        for k in range(3):
-            front = f"SELECT * FROM {name}{k} WHERE gap > 0" + (f" AND id NOT IN (SELECT id FROM {name}{k} WHERE gap = 0)" if k else "")
-            out.append(f"""{name}x{k} AS (SELECT id, value + delta AS value, greatest(0.0, 24.0 - (value + delta), value + delta - 24.5) AS gap,
-                   CASE WHEN path = '' THEN edit ELSE path || '>' || edit END AS path, steps + 1 AS steps, list_append(seen, value + delta) AS seen
-                   FROM ({front}), {edits} WHERE NOT list_contains(seen, value + delta))""")
-            if w is None:
-                out.append(f"{name}{k + 1} AS (SELECT * FROM {name}x{k})")
-            else:
-                out.append(f"""{name}d{k} AS (SELECT * FROM {name}x{k} QUALIFY row_number() OVER (PARTITION BY id, value ORDER BY gap, steps, path) = 1),
-                   {name}{k + 1} AS (SELECT * FROM {name}d{k} QUALIFY row_number() OVER (PARTITION BY id ORDER BY gap, steps, path) <= {w})""")
-        union = " UNION ALL ".join(f"SELECT * FROM {name}{k}" for k in range(4))
-        out.append(f"{name}b AS (SELECT * FROM ({union}) QUALIFY row_number() OVER (PARTITION BY id ORDER BY gap, steps, path) = 1)")
-        return ", ".join(out)
-
-    if hybrid:
-        both = "SELECT * FROM gb UNION ALL SELECT * FROM bb WHERE id IN (SELECT id FROM gb WHERE gap > 0)"
-        return f"WITH {levels(1, 'g')}, {levels(2, 'b')} SELECT id, value, gap, steps, path FROM ({both}) QUALIFY row_number() OVER (PARTITION BY id ORDER BY gap, steps, path) = 1"
-    return f"WITH {levels(width, 's')} SELECT id, value, gap, steps, path FROM sb"
+_START = "SELECT p_partkey AS id, p_size::DOUBLE AS value, greatest(0.0, 24.0 - p_size, p_size - 24.5) AS gap, '' AS path, 0 AS steps, [p_size::DOUBLE] AS seen FROM part"
+_EDITS_SQL = "(VALUES ('a', 7.0::DOUBLE), ('b', -5.0::DOUBLE), ('c', 3.0::DOUBLE)) e(edit, delta)"
+
+
+def _levels(w: int | None, name: str, start: str = _START, depth: int = 3, draw: str | None = None) -> str:
+    """Searches level by level: `<name>b` has the best state and the cost of each instance."""
+    out = [f"{name}0 AS ({start})"]
+    for k in range(depth):
+        front = f"SELECT * FROM {name}{k} WHERE gap > 0" + (f" AND id NOT IN (SELECT id FROM {name}l{k - 1} WHERE gap = 0)" if k else "")
+        before = " UNION ALL ".join(f"SELECT id, value FROM {name}l{j}" for j in range(k))
+        again = f"SELECT * FROM {name}x{k} x WHERE NOT EXISTS (SELECT 1 FROM ({before}) y WHERE y.id = x.id AND y.value = x.value)" if k and w and w > 1 else f"SELECT * FROM {name}x{k}"
+        once = "QUALIFY row_number() OVER (PARTITION BY id, value ORDER BY gap, steps, path) = 1" if w is not None else ""
+        order = f"md5('{draw}:' || id || ':' || path)" if draw else "gap, steps, path"
+        drawn = f"SELECT * FROM ({again} {once}) QUALIFY row_number() OVER (PARTITION BY id ORDER BY {order}) = 1" if draw else f"{again} {once}"
+        out.append(f"""{name}x{k} AS (SELECT id, value + delta AS value, greatest(0.0, 24.0 - (value + delta), value + delta - 24.5) AS gap,
+               CASE WHEN path = '' THEN edit ELSE path || '>' || edit END AS path, steps + 1 AS steps, list_append(seen, value + delta) AS seen
+               FROM ({front}), {_EDITS_SQL} WHERE NOT list_contains(seen, value + delta)),
+               {name}l{k} AS ({drawn})""")
+        cut = f"QUALIFY row_number() OVER (PARTITION BY id ORDER BY {order}) <= {w}" if w is not None else ""
+        out.append(f"{name}{k + 1} AS (SELECT * FROM {name}l{k} {cut})")
+    union = " UNION ALL ".join([f"SELECT * FROM {name}0", *(f"SELECT * FROM {name}l{k}" for k in range(depth))])
+    out.append(f"{name}u AS ({union}), {name}b AS (SELECT *, count(*) OVER (PARTITION BY id) AS cost FROM {name}u QUALIFY row_number() OVER (PARTITION BY id ORDER BY gap, steps, path) = 1)")
+    return ", ".join(out)
+
+
+def _search_sql(width: int | None, draw: str | None = None) -> str:
+    return f"WITH {_levels(width, 's', draw=draw)} SELECT id, value, gap, steps, path, cost FROM sb"
+
+
+_HYBRID_SQL = f"""WITH {_levels(1, "g")}, {_levels(2, "b")}, u AS (SELECT * FROM gb UNION ALL SELECT * FROM bb WHERE id IN (SELECT id FROM gb WHERE gap > 0))
+        SELECT id, value, gap, steps, path, (sum(cost) OVER (PARTITION BY id))::BIGINT AS cost FROM u QUALIFY row_number() OVER (PARTITION BY id ORDER BY gap, steps, path) = 1"""
+_CHILDREN = f"""SELECT id || '|' || edit AS id, value + delta AS value, greatest(0.0, 24.0 - (value + delta), value + delta - 24.5) AS gap, '' AS path, 0 AS steps, [value + delta] AS seen
+        FROM ({_START}), {_EDITS_SQL} WHERE gap > 0"""
+_LABELS_SQL = f"""WITH {_levels(None, "f", _CHILDREN, 2)}, {_levels(1, "g", _CHILDREN, 2)}
+        SELECT split_part(fb.id, '|', 1)::BIGINT AS id, split_part(fb.id, '|', 2) AS edit, fb.gap = 0 AS y_success, CASE WHEN fb.gap = 0 THEN fb.steps + 1 END AS y_short, gb.gap = 0 AS y_greedy
+        FROM fb JOIN gb ON fb.id = gb.id"""
 
 
 ORACLE_SQL = {
@@ -133,7 +181,19 @@ ORACLE_SQL = {
     "parent_child_states": """
         SELECT 'n' || n_nationkey AS state, 'r' || n_regionkey AS region, count(*) AS n, round(avg((c_acctbal < 0)::INT), 6) AS share
         FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2 HAVING count(*) >= 2 AND avg((c_acctbal < 0)::INT) > 0""",
-    "hybrid_search": _search_sql(None, hybrid=True),
+    "hybrid_search": _HYBRID_SQL,
+    "search_random": _search_sql(1, draw="4"),
+    "candidate_labels": _LABELS_SQL,
+    "repaired_replies": """
+        WITH p AS (SELECT p_partkey, p_brand AS old, ([p_type, p_brand])[1:p_size % 3] AS fresh, CASE p_partkey % 4 WHEN 0 THEN p_brand WHEN 1 THEN p_type END AS c FROM part),
+        w AS (SELECT *, CASE WHEN c IS NOT NULL AND NOT list_contains(fresh, c) THEN 'still_missing' WHEN len(fresh) = 0 THEN 'still_empty'
+                             WHEN fresh = [old] THEN 'identical' ELSE 'rewritten' END AS why FROM p)
+        SELECT p_partkey, CASE WHEN why IN ('still_missing', 'still_empty') THEN old ELSE array_to_string(fresh, ',') END AS reply, why FROM w""",
+    "accepted_revisions": """
+        WITH r AS (SELECT p_partkey, [p_size % 5] || list_transform(range(1, 5), lambda i: (p_partkey * i + p_size) % 5) AS v FROM part),
+        n AS (SELECT p_partkey, v, CASE WHEN v[1] > 0 AND v[2] < v[1] THEN CASE WHEN v[2] > 0 AND v[3] < v[2] THEN CASE WHEN v[3] > 0 AND v[4] < v[3] THEN
+                     CASE WHEN v[4] > 0 AND v[5] < v[4] THEN 4 ELSE 3 END ELSE 2 END ELSE 1 END ELSE 0 END AS k FROM r)
+        SELECT p_partkey, 'v' || k AS text, v[k + 1]::INT AS violations FROM n""",
     "beam_step": """
         SELECT o_custkey, o_orderkey, nth, round(gap, 4) AS gap FROM (SELECT *, abs(o_totalprice - 150000.0) AS gap,
             row_number() OVER (PARTITION BY o_custkey ORDER BY abs(o_totalprice - 150000.0), o_orderkey)::INT AS nth FROM orders) WHERE nth <= 2""",
