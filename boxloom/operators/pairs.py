@@ -7,19 +7,38 @@ from pyspark.sql import functions as F
 
 
 def matched(items: DataFrame, constant: list[str], key: str, variable: str, value: str) -> DataFrame:
-    """All ordered pairs of items with equal `constant` and different `variable`: (from, to, delta).
+    """All ordered pairs of items with equal `constant` and different `variable`, listed: (from, to, delta).
 
-    Pairs are counted, not listed, wherever only their statistics are wanted: see `rules`.
+    The list is quadratic in a constant's items; where only statistics are wanted, see `moments`.
     """
     a = items.select(*constant, F.col(key).alias("from_key"), F.col(variable).alias("from"), F.col(value).alias("from_value"))
     b = items.select(*constant, F.col(key).alias("to_key"), F.col(variable).alias("to"), F.col(value).alias("to_value"))
     return a.join(b, constant).where("`from` <> `to`").withColumn("delta", F.col("to_value") - F.col("from_value"))
 
 
+def moments(items: DataFrame, constant: list[str], variable: str, value: str) -> DataFrame:
+    """(constant, from, to, n, s, q, sources): number, sum and sum of squares of the changes of all such pairs, and the items
+    that they start from, without listing them.
+
+    Items are counted by constant and variable first; only these counts meet, so a constant that holds a
+    third of all items costs the square of its distinct variables. Values are taken off their mean.
+    """
+    centre = items.agg(F.avg(value).alias("_c"))  # one row
+    x = F.col(value) - F.col("_c")
+    sums = items.crossJoin(F.broadcast(centre)).groupBy(*constant, variable).agg(F.count(value).alias("n"), F.sum(x).alias("s"), F.sum(x * x).alias("q"))
+    a = sums.select(*constant, F.col(variable).alias("from"), *(F.col(c).alias(f"a{c}") for c in "nsq"))
+    b = sums.select(*constant, F.col(variable).alias("to"), *(F.col(c).alias(f"b{c}") for c in "nsq"))
+    return a.join(b, constant).where("`from` <> `to`").select(
+        *constant, "from", "to", F.expr("an * bn").alias("n"), F.expr("an * bs - bn * as").alias("s"), F.expr("an * bq + bn * aq - 2 * as * bs").alias("q"), F.col("an").alias("sources")
+    )
+
+
 def rules(pairs: DataFrame, by: list[str]) -> DataFrame:
-    """Support, mean and sample deviation of the change for each rule; a single pair has deviation 0."""
-    std = F.when(F.count("*") > 1, F.stddev_samp("delta")).otherwise(F.lit(0.0))
-    return pairs.groupBy(*by).agg(F.count("*").alias("support"), F.avg("delta").alias("avg"), std.alias("std"))
+    """Support, mean and sample deviation of the change for each rule, from `moments`; a single pair has deviation 0."""
+    total = pairs.groupBy(*by).agg(F.sum("n").alias("support"), F.sum("s").alias("s"), F.sum("q").alias("q"))
+    var = (F.col("q") - F.col("s") * F.col("s") / F.col("support")) / (F.col("support") - 1)
+    std = F.when(F.col("support") > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).otherwise(F.lit(0.0))
+    return total.select(*by, "support", (F.col("s") / F.col("support")).alias("avg"), std.alias("std"))
 
 
 def pooled(partials: DataFrame, by: list[str], n: str = "n", avg: str = "avg", std: str = "std") -> DataFrame:
@@ -40,7 +59,7 @@ def ladder(pairs: DataFrame, transform: list[str], contexts: dict[int, Column],
     Transforms are ranked by their support without context, the `top` are kept, and of their rows
     those with at least `least` pairs.
     """
-    ranks = pairs.groupBy(*transform).agg(F.count("*").alias("all"))
+    ranks = pairs.groupBy(*transform).agg(F.sum("n").alias("all"))
     ranks = ranks.orderBy(F.desc("all"), *transform).limit(top)
     kept = pairs.join(ranks, transform)
     levels = F.array(*(F.struct(F.lit(r).alias("radius"), c.cast("string").alias("context")) for r, c in contexts.items()))

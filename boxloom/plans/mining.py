@@ -13,7 +13,7 @@ CONSTANT = ["p_brand", "p_type"]
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "part").withColumn("band", F.floor((F.col("p_size") - 1) / 10).cast("int"))
-    return pairs.matched(items, CONSTANT, "p_partkey", "band", "p_retailprice")
+    return pairs.moments(items, CONSTANT, "band", "p_retailprice")
 
 
 def matched_pair_selfjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def deepest_context_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attach_library(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per target band: pairs and distinct sources, the commonest first."""
-    counted = _pairs(spark, sf_dir).groupBy("to").agg(F.count("*").alias("pairs"), F.count_distinct("from_key").alias("sources"))
+    counted = _pairs(spark, sf_dir).groupBy("to").agg(F.sum("n").alias("pairs"), F.sum("sources").alias("sources"))
     return counted.orderBy(F.desc("sources"), F.desc("pairs"), "to").limit(4)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import ranks
+from ..operators import ranks, samples
 from ..sources.tables import table
 
 KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
@@ -57,7 +57,9 @@ def within_set_spearman(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = ranks.correlations(_candidates(spark, sf_dir), ["l_orderkey"], "l_extendedprice", "l_discount").where("rho IS NOT NULL AND n > 2")
     clipped = F.atanh(F.least(F.greatest("rho", F.lit(-0.999)), F.lit(0.999)))
     fisher = F.tanh(F.sum((F.col("n") - 1) * clipped) / F.sum(F.col("n") - 1))
-    return each.agg(F.count("*").alias("sets"), F.round(F.avg("rho"), 6).alias("mean"), F.round(F.median("rho"), 6).alias("median"), F.round(fisher, 6).alias("fisher"))
+    pooled = each.agg(F.count("*").alias("sets"), F.round(F.avg("rho"), 6).alias("mean"), F.round(fisher, 6).alias("fisher"))
+    middle = samples.quantiles(each, [], "rho", {"median": 0.5}).select(F.round("median", 6).alias("median"))
+    return pooled.crossJoin(F.broadcast(middle)).select("sets", "mean", "median", "fisher")  # one row each
 
 
 def rank_auc(spark: SparkSession, sf_dir: str) -> DataFrame:

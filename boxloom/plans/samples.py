@@ -18,20 +18,12 @@ def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scale_basis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population deviation, median, median deviation and index quartile range of each property."""
-    rows = _long(spark, sf_dir)
-    basic = rows.groupBy("name").agg(F.stddev_pop("value").alias("std"), F.median("value").alias("median"))
-    off = rows.join(F.broadcast(basic.select("name", "median")), "name").groupBy("name").agg(F.median(F.abs(F.col("value") - F.col("median"))).alias("mad"))  # a row a property
-    n = rows.groupBy("name", "value").agg(F.count("*").alias("c"))
-    upto = F.sum("c").over(Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
-    placed = n.withColumn("upto", upto).withColumn("all", F.sum("c").over(Window.partitionBy("name")))
-    at = lambda k: F.min(F.when(F.col("upto") > F.floor(F.col("all") * k / 4), F.col("value")))
-    iqr = placed.groupBy("name").agg((at(3) - at(1)).alias("iqr"))
-    return basic.join(off, "name").join(iqr, "name").select("name", *(F.round(c, 6).alias(c) for c in ("std", "median", "mad", "iqr")))
+    return samples.scales(_long(spark, sf_dir), "name", "value").select("name", *(F.round(c, 6).alias(c) for c in ("std", "median", "mad", "iqr")))
 
 
 def population_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = F.percentile("value", F.array(F.lit(0.01), F.lit(0.99)))
-    return _long(spark, sf_dir).groupBy("name").agg(q.alias("q")).select("name", F.round(F.col("q")[0], 6).alias("p1"), F.round(F.col("q")[1], 6).alias("p99"))
+    found = samples.quantiles(_long(spark, sf_dir), ["name"], "value", {"p1": 0.01, "p99": 0.99})
+    return found.select("name", F.round("p1", 6).alias("p1"), F.round("p99", 6).alias("p99"))
 
 
 def robust_scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,9 +112,25 @@ def tanimoto_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", bits.alias("bits"))
     asked = rows.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("bits").alias("asked"))
     share = F.bit_count(F.col("bits").bitwiseAND(F.col("asked"))) / F.bit_count(F.col("bits").bitwiseOR(F.col("asked")))
-    met = rows.join(asked, rows["vec_id"] != asked["query_id"]).withColumn("share", F.round(share, 6))
-    nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("share"), "vec_id"))
-    return met.withColumn("nth", nth).where("nth <= 5").select("query_id", "nth", "vec_id", "share")
+    # queries and rows are dealt to blocks of bounded size; each pair of blocks is one key
+    n = rows.count()
+    blocks = {"q": max(1, -(-n // (50 * 2048))), "r": max(8, -(-n // 65536))}
+    deal = lambda key, k: F.pmod(F.xxhash64(key), F.lit(blocks[k]))
+    every = lambda k: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks[k] - 1).cast("bigint")))
+    held = rows.withColumn("r", deal("vec_id", "r")).withColumn("q", every("q"))
+    met = held.join(asked.withColumn("q", deal("query_id", "q")).withColumn("r", every("r")), ["q", "r"]).where("vec_id <> query_id").withColumn("share", F.round(share, 6))
+    best = lambda *by: F.row_number().over(Window.partitionBy("query_id", *by).orderBy(F.desc("share"), "vec_id"))
+    some = met.withColumn("nth", best("r")).where("nth <= 5").drop("nth")
+    return some.withColumn("nth", best()).where("nth <= 5").select("query_id", "nth", "vec_id", "share")
+
+
+def sibling_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean similarity of each vector of a small set (ten neighbours by id) to the others of it."""
+    bits = F.aggregate(F.transform("embedding", lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))), F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.floor(F.col("vec_id") / 10).alias("set"), bits.alias("bits"))
+    other = rows.select("set", F.col("vec_id").alias("o"), F.col("bits").alias("b"))
+    share = F.bit_count(F.col("bits").bitwiseAND(F.col("b"))) / F.bit_count(F.col("bits").bitwiseOR(F.col("b")))
+    return rows.join(other, "set").where("vec_id <> o").groupBy("vec_id").agg(F.round(F.avg(share), 6).alias("mean"))
 
 
 def column_gap_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +149,7 @@ def column_gap_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (scale_basis, population_range, robust_scaling, index_percentiles, hash_split, split_policy, authored_draw, stable_ids, exact_hash_sample,
-                            systematic_sample, quota_admission, quota_admission_relaxed, instance_sampler, dense_encode, constant_columns, tanimoto_topk, column_gap_pick)
+                            systematic_sample, quota_admission, quota_admission_relaxed, instance_sampler, dense_encode, constant_columns, tanimoto_topk, sibling_similarity, column_gap_pick)
 }
 
 _LONG = "l AS (" + " UNION ALL ".join(f"SELECT '{c}' AS name, {c} AS value FROM lineitem" for c in _PROPS) + ")"
@@ -196,6 +204,9 @@ ORACLE_SQL = {
         WITH b AS (SELECT vec_id, list_reduce(list_transform(embedding, lambda x, i: CASE WHEN x > 0 THEN (1::UBIGINT << (i - 1)::UBIGINT) ELSE 0::UBIGINT END), lambda a, b: a | b) AS bits FROM embeddings),
         m AS (SELECT q.vec_id AS query_id, r.vec_id, round(bit_count(q.bits & r.bits) / bit_count(q.bits | r.bits)::DOUBLE, 6) AS share FROM b q, b r WHERE q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id)
         SELECT query_id, nth, vec_id, share FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY share DESC, vec_id)::INT AS nth FROM m) WHERE nth <= 5""",
+    "sibling_similarity": """
+        WITH b AS (SELECT vec_id, vec_id // 10 AS s, list_reduce(list_transform(embedding, lambda x, i: CASE WHEN x > 0 THEN (1::UBIGINT << (i - 1)::UBIGINT) ELSE 0::UBIGINT END), lambda a, b: a | b) AS bits FROM embeddings)
+        SELECT a.vec_id, round(avg(bit_count(a.bits & b.bits) / bit_count(a.bits | b.bits)::DOUBLE), 6) AS mean FROM b a JOIN b ON a.s = b.s AND a.vec_id <> b.vec_id GROUP BY 1""",
     "column_gap_pick": """
         WITH n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey, l_suppkey, l_linenumber, l_quantity, l_discount, l_tax) AS nth FROM lineitem),
         l AS (SELECT l_orderkey, nth, 'l_quantity' AS name, l_quantity AS v FROM n UNION ALL SELECT l_orderkey, nth, 'l_discount', l_discount FROM n UNION ALL SELECT l_orderkey, nth, 'l_tax', l_tax FROM n),
