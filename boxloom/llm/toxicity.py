@@ -26,7 +26,8 @@ are scored each. Only the id, the text and the labels are read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -238,12 +239,14 @@ def window_logits(net: Network, features: Features, ids: np.ndarray, real: np.nd
     return np.concatenate(out) if out else np.empty(0, np.float32)
 
 
-def factorised(texts: list[list[str]], net: Network) -> tuple[Features, np.ndarray, np.ndarray]:
-    """(features of the distinct words, word ids end to end, limits of the texts)."""
-    limits = np.cumsum([0, *(len(t) for t in texts)])
-    flat = [w for t in texts for w in t]
-    ids, distinct = pd.factorize(np.array(flat, dtype=object)) if flat else (np.empty(0, np.int64), np.array([], dtype=object))
-    return Features(list(distinct), *net.sizes), ids, limits
+def factorised(texts: Iterable[list[str]], net: Network) -> tuple[Features, np.ndarray, np.ndarray]:
+    """(features of the distinct words, word ids end to end, limits of the texts). Of the words only the distinct ones are held."""
+    known: dict[str, int] = {}
+    ids, limits = array("q"), [0]
+    for words in texts:
+        ids.extend([known.setdefault(w, len(known)) for w in words])
+        limits.append(len(ids))
+    return Features(list(known), *net.sizes), np.array(ids, dtype=np.int64), np.array(limits)
 
 
 def document_logits(net: Network, texts: list[str | None], most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
@@ -280,7 +283,7 @@ def train(sample: pd.DataFrame, odds: float = 1.0, seed: int = 11, batch: int =
         return None
     rng = np.random.default_rng(seed)
     net = Network()
-    features, ids, limits = factorised([w.split() for w in sample["window"]], net)
+    features, ids, limits = factorised((w.split() for w in sample["window"]), net)
     at = limits[:-1, None] + np.arange(SPAN)
     real = at < limits[1:, None]
     ids = np.append(ids, 0)[np.where(real, at, len(ids))]
