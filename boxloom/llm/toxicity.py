@@ -9,8 +9,8 @@ the states are pooled by a learned attention.
 Labels are of documents, not of windows, so training is in two parts: first each window has its
 document's label (windows of clean documents are surely clean), then, of a toxic document, only the
 windows that the network itself finds toxic, its worst at least. A round goes over the windows as
-often as it takes to see 25,000 of them, at most 8 times. A sixth of the documents of each class (one
-at least) are not trained on, and place the decision at 0.5.
+often as it takes to see 25,000 of them, at most 8 times. A sixth of the documents, one of each class at
+least, are not trained on and place the decision at 0.5.
 
 Fitting uses a bounded sample of whole documents: at most `rows` labelled ones of each class, in order
 of hash, of which those are left out that would take the class above `most` windows. All windows of a
@@ -291,10 +291,10 @@ def train(sample: pd.DataFrame, odds: float = 1.0, seed: int = 11, batch: int =
     label = sample["toxic"].to_numpy(np.float32)
     doc, _ = pd.factorize(sample["doc_id"])
     of_doc = pd.Series(label).groupby(doc).first().to_numpy()
-    held = np.zeros(len(of_doc), bool)
+    held = rng.permutation(len(of_doc)) % 6 == 0
     for c in (0, 1):
-        own = np.flatnonzero(of_doc == c)
-        held[rng.permutation(own)[: -(-len(own) // 6)]] = True
+        if not held[of_doc == c].any():
+            held[np.flatnonzero(of_doc == c)[0]] = True
     held = held[doc]
 
     def epoch(rows: np.ndarray, speed: float) -> None:
