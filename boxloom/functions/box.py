@@ -73,14 +73,15 @@ def score(boxes: list[tuple[Column, Column, Column]], mode: str, weights: list[f
     return held - total([F.lit(w) * e for w, e in zip(weights or [1.0] * len(each), each)])
 
 
-def bucket(value: Column, lo: Column, hi: Column, sigma: Column, k: float = 1.0) -> Column:
-    """Where an uncertain value lies: holds, at risk, within reach or misses."""
+def bucket(value: Column, lo: Column, hi: Column, sigma: Column, k: float = 1.0, before: Column | None = None) -> Column:
+    """Where an uncertain value lies: holds, at risk, within reach or misses; `misses*` where `before` was inside."""
     d, reach = distance(value, lo, hi), sigma * F.lit(k)
     margin = F.least(F.coalesce(value - lo, F.lit(INF)), F.coalesce(hi - value, F.lit(INF)))
+    out = F.lit("misses") if before is None else F.when(inside(before, lo, hi), F.lit("misses*")).otherwise(F.lit("misses"))
     return (
-        F.when(clean(value).isNull(), F.lit("misses"))
+        F.when(clean(value).isNull(), out)
         .when((d == 0) & (margin >= reach), F.lit("holds"))
         .when(d == 0, F.lit("at risk"))
         .when(d <= reach, F.lit("within reach"))
-        .otherwise(F.lit("misses"))
+        .otherwise(out)
     )

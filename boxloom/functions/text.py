@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,7 +43,18 @@ def listed(items: Column) -> Column:
 
 def folded(text: Column) -> Column:
     """Typographic quotes and dashes as plain ones, runs of blanks as one."""
-    return F.trim(F.regexp_replace(F.translate(text, "‘’“”–— ", "''\"\"-- "), "\\s+", " "))
+    return F.trim(F.regexp_replace(F.translate(text, "‘’“”‐‑‒–—―− ", "''\"\"------- "), "\\s+", " "))
+
+
+def normalised(text: Column) -> Column:
+    """Unicode NFKC, which no built-in function gives, then `folded`. Only texts beyond ASCII, which alone can change, go through Python."""
+
+    @F.pandas_udf("string")
+    def compatible(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
+    beyond = text.rlike("[^\\x00-\\x7F]")
+    return folded(F.when(beyond, compatible(F.when(beyond, text))).otherwise(text))
 
 
 def numbered_attachments(text: Column) -> Column:

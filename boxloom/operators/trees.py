@@ -38,6 +38,17 @@ def rollup(nodes: DataFrame, depth: int) -> DataFrame:
     return out.withColumn("sat_ratio", F.col("n_sat") / F.col("n_leaf"))
 
 
+def decisions(nodes: DataFrame, least: int, deepest: int) -> DataFrame:
+    """(state, level, n, best): nodes of a `rollup` that are a choice between children.
+
+    A state counts if it is itself a node, no deeper than `deepest`, and has `least` or more children, one of
+    which has a `sat_ratio` above 0. Children whose parent is null or no node are of no state.
+    """
+    states = nodes.where(F.col("level") <= deepest).select(F.col("id").alias("state"), "level")
+    sets = nodes.where("parent IS NOT NULL").groupBy("parent").agg(F.count("*").alias("n"), F.max("sat_ratio").alias("best"))
+    return states.join(sets.where((F.col("n") >= least) & (F.col("best") > 0)), F.col("parent") == F.col("state")).drop("parent")
+
+
 def between_within(rows: DataFrame, group: str, value: str, by: list[str]) -> DataFrame:
     """Variance between and within groups, and the intraclass share between / (between + within)."""
     each = rows.groupBy(*by, group).agg(F.count("*").alias("n"), F.sum(value).alias("s"), F.sum(F.col(value) * F.col(value)).alias("q"))

@@ -50,6 +50,12 @@ def leak_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def leak_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 15 passages that leak into most documents, ties to the smaller id."""
+    counts = _leaks(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("documents"))
+    return counts.orderBy(F.desc("documents"), "item_id").limit(15)
+
+
 def polluted_group_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of conversations without any very long turn; conversations divisible by 11 lose their id first."""
     turns = table(spark, sf_dir, "conversations").withColumn("gid", F.when(F.pmod("conv_id", F.lit(11)) != 0, F.col("conv_id")))
@@ -214,7 +220,7 @@ def set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        ref_exclusion_antijoin, leak_semijoin, leak_antijoin, leak_report, polluted_group_drop, rekey_delta_join, coverage_intersection, mismatch_filter,
+        ref_exclusion_antijoin, leak_semijoin, leak_antijoin, leak_report, leak_top, polluted_group_drop, rekey_delta_join, coverage_intersection, mismatch_filter,
         regex_audit, violation_list, grounded_numbers, json_props_extract, sessionise_rounds, carry_forward, lead_adjacency, keep_first_dedup, merge_segments,
         doc_freq, profile_grouping_sets, verification_counters, reject_reasons, group_count_diff, set_operations)
 }
@@ -230,6 +236,7 @@ ORACLE_SQL = {
     "leak_report": f"""WITH {_LEAKS}, c AS (SELECT item_id, count(*) AS n FROM l GROUP BY 1)
         SELECT threshold, count(*) FILTER (n > threshold) AS passages, coalesce(sum(n) FILTER (n > threshold), 0)::BIGINT AS documents
         FROM c, (VALUES (0), (1), (2), (3), (5)) t(threshold) GROUP BY 1""",
+    "leak_top": f"WITH {_LEAKS} SELECT item_id, count(*) AS documents FROM l GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15",
     "polluted_group_drop": """
         WITH t AS (SELECT CASE WHEN conv_id % 11 <> 0 THEN conv_id END AS gid, text FROM conversations),
         g AS (SELECT gid, count(*) AS turns, bool_or(length(text) > 1500) AS bad FROM t GROUP BY 1) SELECT gid, turns FROM g WHERE NOT bad""",

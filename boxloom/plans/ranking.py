@@ -43,12 +43,15 @@ def group_mean_centring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Along a customer's orders: last price, whether it rose, whether the status repeats, the step."""
+    """Along a customer's orders: last price, whether it rose, whether the status repeats, the step, by how many thousands the change differs from the one foretold (0 at first)."""
     path = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     before = F.lag("o_totalprice").over(path)
+    foretold = (F.pmod("o_orderkey", F.lit(7)) - 3) * 1000.0
+    missed = F.abs(F.col("o_totalprice") - before - foretold) / 1000.0
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", before.alias("last_price"), (F.col("o_totalprice") > before).alias("improved"),
         (F.lag("o_orderstatus").over(path) == F.col("o_orderstatus")).alias("same_status"), F.row_number().over(path).alias("step"),
+        F.round(F.coalesce(missed, F.lit(0.0)), 6).alias("missed_by"),
     )
 
 
@@ -172,7 +175,8 @@ ORACLE_SQL = {
     "group_mean_centring": f"SELECT {_K}, round(l_quantity - avg(l_quantity) OVER (PARTITION BY l_orderkey), 6) AS centred FROM lineitem",
     "history_lag": """
         SELECT o_orderkey, lag(o_totalprice) OVER w AS last_price, o_totalprice > lag(o_totalprice) OVER w AS improved,
-               lag(o_orderstatus) OVER w = o_orderstatus AS same_status, (row_number() OVER w)::INT AS step
+               lag(o_orderstatus) OVER w = o_orderstatus AS same_status, (row_number() OVER w)::INT AS step,
+               round(coalesce(abs(o_totalprice - lag(o_totalprice) OVER w - (o_orderkey % 7 - 3) * 1000.0::DOUBLE) / 1000.0::DOUBLE, 0), 6) AS missed_by
         FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
     "within_set_spearman": f"""{_C}, {_RHO}
         SELECT count(*) AS sets, round(avg(rho), 6) AS mean, round(median(rho), 6) AS median,

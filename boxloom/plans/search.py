@@ -1,4 +1,4 @@
-"""Tree and search queries: region > nation > customer as a tree, parts as instances that move towards a size box."""
+"""Tree and search queries: region > nation > customer > order as a tree, parts as instances that move towards a size box."""
 
 from __future__ import annotations
 
@@ -12,22 +12,23 @@ from ..sources.tables import table
 
 
 def _tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A customer with a low balance is satisfied; so is the nation of key 7."""
+    """Orders of status P, customers with a low balance and the nation of key 7 are satisfied."""
     row = lambda i, p, level, sat: [i.alias("id"), p.cast("string").alias("parent"), F.lit(level).alias("level"), sat.cast("int").alias("sat")]
     root = spark.range(1).select(*row(F.lit("root"), F.lit(None), 0, F.lit(0)))
     regions = table(spark, sf_dir, "region").select(*row(F.concat(F.lit("r"), "r_regionkey"), F.lit("root"), 1, F.lit(0)))
     nations = table(spark, sf_dir, "nation").select(*row(F.concat(F.lit("n"), "n_nationkey"), F.concat(F.lit("r"), "n_regionkey"), 2, F.col("n_nationkey") == 7))
     customers = table(spark, sf_dir, "customer").select(*row(F.concat(F.lit("c"), "c_custkey"), F.concat(F.lit("n"), "c_nationkey"), 3, F.col("c_acctbal") < 0))
-    return root.unionByName(regions).unionByName(nations).unionByName(customers)
+    orders = table(spark, sf_dir, "orders").select(*row(F.concat(F.lit("o"), "o_orderkey"), F.concat(F.lit("c"), "o_custkey"), 4, F.col("o_orderstatus") == "P"))
+    return root.unionByName(regions).unionByName(nations).unionByName(customers).unionByName(orders)
 
 
 def tree_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = trees.rollup(_tree(spark, sf_dir), 3).where("level < 3")
+    found = trees.rollup(_tree(spark, sf_dir), 4).where("level < 4")
     return found.select("id", "n_children", "n_leaf", "n_sat", "min_depth", F.round("sat_ratio", 6).alias("sat_ratio"))
 
 
 def depth_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = trees.rollup(_tree(spark, sf_dir), 3)
+    found = trees.rollup(_tree(spark, sf_dir), 4)
     return found.groupBy("level").agg(F.count("*").alias("nodes"), F.round(F.avg("sat_ratio"), 6).alias("mean"), F.round(F.coalesce(F.stddev_samp("sat_ratio"), F.lit(0.0)), 6).alias("std"))
 
 
@@ -45,6 +46,13 @@ def parent_child_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.join(parents, F.col("parent") == F.col("state")).select("state", "region", "n", F.round("share", 6).alias("share"))
 
 
+def decision_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States down to level 2 with two or more children, of which one at least reaches a satisfied leaf."""
+    nodes = trees.rollup(_tree(spark, sf_dir), 4)
+    found = trees.decisions(nodes, least=2, deepest=2)
+    return found.select("state", "level", "n", F.round("best", 6).alias("best"))
+
+
 _EDITS = [("a", 7.0), ("b", -5.0), ("c", 3.0)]
 
 
@@ -115,21 +123,43 @@ def trajectory_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(best.alias("o_orderkey"))
 
 
-QUERIES = {f.__name__: f for f in (tree_rollup, depth_summary, icc_by_depth, parent_child_states, hybrid_search, search_random, candidate_labels, pairwise_importance, repaired_replies, accepted_revisions, beam_step,
+def trajectory_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each customer's orders one, drawn evenly by a seeded hash."""
+    drawn = F.min_by("o_orderkey", F.struct(F.md5(F.concat_ws(":", F.lit("9"), "o_custkey", "o_orderkey").cast("binary")), "o_orderkey"))
+    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(drawn.alias("o_orderkey"))
+
+
+def trajectory_most_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each customer's orders the one that holds most boxes, ties to the smaller gap of its price, then to the smaller key."""
+    price = F.col("o_totalprice")
+    held = price.between(100000, 200000).cast("int") + (F.col("o_orderstatus") == "F").cast("int") + F.col("o_orderpriority").startswith("1").cast("int")
+    gap = F.greatest(F.lit(0.0), 100000.0 - price, price - 200000.0)
+    best = F.min_by(F.struct("o_orderkey", held.alias("held")), F.struct(-held, gap, "o_orderkey"))
+    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(best.alias("b")).select("o_custkey", "b.o_orderkey", "b.held")
+
+
+QUERIES = {f.__name__: f for f in (tree_rollup, depth_summary, icc_by_depth, parent_child_states, decision_sets, trajectory_random, trajectory_most_boxes, hybrid_search, search_random, candidate_labels, pairwise_importance, repaired_replies, accepted_revisions, beam_step,
                                trajectory_select)} | {
     "search_greedy": partial(search, 1), "search_beam": partial(search, 2), "search_exhaustive": partial(search, None),
 }
 
-_TREE = """c AS (SELECT 'c' || c_custkey AS id, 'n' || c_nationkey AS parent, (c_acctbal < 0)::INT AS sat FROM customer),
-        n AS (SELECT 'n' || n_nationkey AS id, 'r' || n_regionkey AS parent, (n_nationkey = 7)::INT AS sat,
-                     (SELECT count(*) FROM c WHERE c.parent = 'n' || n_nationkey) AS k, (SELECT coalesce(sum(sat), 0) FROM c WHERE c.parent = 'n' || n_nationkey) AS s FROM nation),
-        n2 AS (SELECT id, parent, sat, k AS n_children, CASE WHEN sat = 1 OR k = 0 THEN 1 ELSE k END AS n_leaf, CASE WHEN sat = 1 OR k = 0 THEN sat ELSE s END AS n_sat,
-                      CASE WHEN sat = 1 THEN 2 WHEN s > 0 THEN 3 END AS min_depth FROM n),
-        r2 AS (SELECT 'r' || r_regionkey AS id, 'root' AS parent, count(*) AS n_children, sum(n_leaf) AS n_leaf, sum(n_sat) AS n_sat, min(min_depth) AS min_depth
-               FROM region JOIN n2 ON n2.parent = 'r' || r_regionkey GROUP BY 1),
-        t AS (SELECT 3 AS level, id, 0 AS n_children, 1 AS n_leaf, sat AS n_sat, CASE WHEN sat = 1 THEN 3 END AS min_depth FROM c
-              UNION ALL SELECT 2, id, n_children, n_leaf, n_sat, min_depth FROM n2 UNION ALL SELECT 1, id, n_children, n_leaf, n_sat, min_depth FROM r2
-              UNION ALL SELECT 0, 'root', count(*), sum(n_leaf), sum(n_sat), min(min_depth) FROM r2)"""
+def _level_sql(name: str, below: str, level: int) -> str:
+    """`name` (id, parent, sat) with the sums of its children in `below`."""
+    return f"""SELECT x.id, any_value(x.parent) AS parent, {level} AS level, count(b.id) AS n_children,
+               CASE WHEN any_value(x.sat) = 1 OR count(b.id) = 0 THEN 1 ELSE sum(b.n_leaf) END AS n_leaf,
+               CASE WHEN any_value(x.sat) = 1 OR count(b.id) = 0 THEN any_value(x.sat) ELSE sum(b.n_sat) END AS n_sat,
+               CASE WHEN any_value(x.sat) = 1 THEN {level} ELSE min(b.min_depth) END AS min_depth
+               FROM {name} x LEFT JOIN {below} b ON b.parent = x.id GROUP BY x.id"""
+
+
+_TREE = f"""o4 AS (SELECT 'o' || o_orderkey AS id, 'c' || o_custkey AS parent, 4 AS level, 0 AS n_children, 1 AS n_leaf, (o_orderstatus = 'P')::INT AS n_sat,
+                     CASE WHEN o_orderstatus = 'P' THEN 4 END AS min_depth FROM orders),
+        c AS (SELECT 'c' || c_custkey AS id, 'n' || c_nationkey AS parent, (c_acctbal < 0)::INT AS sat FROM customer),
+        n AS (SELECT 'n' || n_nationkey AS id, 'r' || n_regionkey AS parent, (n_nationkey = 7)::INT AS sat FROM nation),
+        r AS (SELECT 'r' || r_regionkey AS id, 'root' AS parent, 0 AS sat FROM region),
+        z AS (SELECT 'root' AS id, NULL::VARCHAR AS parent, 0 AS sat),
+        c3 AS ({_level_sql("c", "o4", 3)}), n2 AS ({_level_sql("n", "c3", 2)}), r1 AS ({_level_sql("r", "n2", 1)}), z0 AS ({_level_sql("z", "r1", 0)}),
+        t AS (SELECT * FROM o4 UNION ALL SELECT * FROM c3 UNION ALL SELECT * FROM n2 UNION ALL SELECT * FROM r1 UNION ALL SELECT * FROM z0)"""
 
 
 _START = "SELECT p_partkey AS id, p_size::DOUBLE AS value, greatest(0.0, 24.0 - p_size, p_size - 24.5) AS gap, '' AS path, 0 AS steps, [p_size::DOUBLE] AS seen FROM part"
@@ -172,7 +202,7 @@ _LABELS_SQL = f"""WITH {_levels(None, "f", _CHILDREN, 2)}, {_levels(1, "g", _CHI
 
 ORACLE_SQL = {
     "tree_rollup": f"""WITH {_TREE} SELECT id, n_children::BIGINT AS n_children, n_leaf::BIGINT AS n_leaf, n_sat::BIGINT AS n_sat, min_depth,
-        round(n_sat / n_leaf::DOUBLE, 6) AS sat_ratio FROM t WHERE level < 3""",
+        round(n_sat / n_leaf::DOUBLE, 6) AS sat_ratio FROM t WHERE level < 4""",
     "depth_summary": f"""WITH {_TREE} SELECT level, count(*) AS nodes, round(avg(n_sat / n_leaf::DOUBLE), 6) AS mean, round(coalesce(stddev_samp(n_sat / n_leaf::DOUBLE), 0), 6) AS std FROM t GROUP BY 1""",
     "icc_by_depth": """
         WITH e AS (SELECT o_orderstatus, o_custkey, count(*) AS n, sum(o_totalprice) AS s, sum(o_totalprice * o_totalprice) AS q FROM orders GROUP BY 1, 2),
@@ -181,6 +211,14 @@ ORACLE_SQL = {
     "parent_child_states": """
         SELECT 'n' || n_nationkey AS state, 'r' || n_regionkey AS region, count(*) AS n, round(avg((c_acctbal < 0)::INT), 6) AS share
         FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2 HAVING count(*) >= 2 AND avg((c_acctbal < 0)::INT) > 0""",
+    "decision_sets": f"""WITH {_TREE} SELECT p.id AS state, p.level, count(*) AS n, round(max(k.n_sat / k.n_leaf::DOUBLE), 6) AS best
+        FROM t k JOIN t p ON k.parent = p.id WHERE p.level <= 2 GROUP BY 1, 2 HAVING count(*) >= 2 AND max(k.n_sat) > 0""",
+    "trajectory_random": """
+        SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY md5('9:' || o_custkey || ':' || o_orderkey), o_orderkey) = 1""",
+    "trajectory_most_boxes": """
+        WITH h AS (SELECT o_custkey, o_orderkey, greatest(0.0, 100000.0 - o_totalprice, o_totalprice - 200000.0) AS gap,
+                          (o_totalprice BETWEEN 100000 AND 200000)::INT + (o_orderstatus = 'F')::INT + (o_orderpriority LIKE '1%')::INT AS held FROM orders)
+        SELECT o_custkey, o_orderkey, held FROM h QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY held DESC, gap, o_orderkey) = 1""",
     "hybrid_search": _HYBRID_SQL,
     "search_random": _search_sql(1, draw="4"),
     "candidate_labels": _LABELS_SQL,

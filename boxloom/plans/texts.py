@@ -24,6 +24,12 @@ def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("s").alias("n"), longest.alias("longest"), F.md5(F.element_at("s", -1).cast("binary")).alias("last"))
 
 
+def nfkc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents' texts in NFKC and with plain punctuation; signs that this changes are put before every third."""
+    made = F.when(F.pmod("doc_id", F.lit(3)) == 0, F.concat(F.lit("ﬁne ① ２\u00a0− “x” "), "text")).otherwise(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.normalised(made).alias("plain"))
+
+
 def attachment_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = F.concat(F.lit("*C"), F.when(F.pmod("p_partkey", F.lit(3)) == 0, "[*]N*").when(F.pmod("p_partkey", F.lit(3)) == 1, "[*:2]").otherwise("O"), F.col("p_size"))
     return table(spark, sf_dir, "part").select("p_partkey", text.numbered_attachments(made).alias("mapped"))
@@ -119,7 +125,7 @@ def segment_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (label_normalisation, sentence_split, attachment_numbers, atom_labels, clean_reasoning, span_parsing, verification_block, port_ranges,
-                                   negation_guard, bounds_round_trip, calls_with_replies, feature_split, record_merge, segment_merge)}
+                                   negation_guard, bounds_round_trip, calls_with_replies, feature_split, record_merge, segment_merge, nfkc_text)}
 
 _ONE = """CASE WHEN {0} LIKE '%ies' THEN left({0}, -3) || 'y' WHEN regexp_matches({0}, '(ses|xes|zes|ches|shes)$') THEN left({0}, -2)
           WHEN {0} LIKE '%s' AND {0} NOT LIKE '%ss' THEN left({0}, -1) ELSE {0} END"""

@@ -1,9 +1,12 @@
 """Operators on small tables made for their corner cases."""
 
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from boxloom.functions import box, text
 from boxloom.operators import corpus, pairs, ranks, samples, trees
 from boxloom.sources import files, search
 from boxloom.streaming import events
@@ -124,3 +127,24 @@ def test_hybrid_search_is_no_worse_than_greedy(spark):
     asked = spark.createDataFrame([(i, float(i), 11.0, 11.0) for i in range(12)], "id long, value double, lo double, hi double")
     greedy = {r.id: r.gap for r in finder.run(asked, 4, 1).collect()}
     assert all(r.gap <= greedy[r.id] for r in finder.hybrid(asked, 4, 3).collect())
+
+
+def test_nfkc_equals_python(spark):
+    texts = ["", None, "plain  text ", "ﬁne ① ２", "e\u0301 ½ Å ㎏ ﷺ", "a\u00a0\u2003b", "“x” − y ― z", "日本 ｶﾞ"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", text.normalised(F.col("t")).alias("o")).orderBy("i").collect()
+    plain = str.maketrans("‘’“”‐‑‒–—―−", "''\"\"-------")
+    assert [r.o for r in rows] == [None if t is None else " ".join(unicodedata.normalize("NFKC", t).translate(plain).split()) for t in texts]
+
+
+def test_a_miss_is_marked_where_the_value_was_inside(spark):
+    rows = spark.createDataFrame([(5.0, 12.0), (5.0, 30.0), (None, 15.0), (5.0, None), (15.0, 15.0)], "v double, b double")
+    found = rows.select(box.bucket(F.col("v"), F.lit(10.0), F.lit(20.0), F.lit(1.0), before=F.col("b")).alias("x")).collect()
+    assert [r.x for r in found] == ["misses*", "misses", "misses*", "misses", "holds"]
+
+
+def test_decisions_need_a_state_two_children_and_a_way(spark):
+    rows = [("a", None, 0, 0), ("b", "a", 1, 0), ("c", "a", 1, 0), ("d", "b", 2, 1), ("e", "b", 2, 0), ("f", "c", 2, 0), ("g", "c", 2, 0), ("h", "d", 3, 1),
+            ("i", "e", 3, 1), ("j", "e", 3, 0), ("k", "none", 3, 1), ("l", "none", 3, 1)]
+    nodes = trees.rollup(spark.createDataFrame(rows, "id string, parent string, level int, sat int"), 3)
+    assert {(r.state, r.n) for r in trees.decisions(nodes, 2, 1).collect()} == {("a", 2), ("b", 2)}
+    assert {r.state for r in trees.decisions(nodes, 2, 2).collect()} == {"a", "b", "e"}
