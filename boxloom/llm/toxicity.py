@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, passing, ship
+from .common import configured, materialise, passing, ship
 
 WORDS = re.compile(r"\w+")
 SPAN, STRIDE = 32, 24
@@ -51,10 +51,38 @@ def starts_of(n: int) -> range:
     return range(0, max(1, n - (SPAN - STRIDE)), STRIDE)
 
 
+def pieces(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of neighbours that together have about `most`, or of one that has more."""
+    at = np.cumsum(sizes, dtype=np.int64) // most
+    cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1], True]) if len(at) else []
+    return (slice(a, b) for a, b in zip(cuts, cuts[1:]))
+
+
 class Features:
-    """Hashed inputs of distinct words: one word row each, and their character n-gram rows as runs."""
+    """Hashed inputs of distinct words: one word row each, and their character n-gram rows as runs.
+
+    Rows are held in the smallest type that has them, and hashed from about `PIECE` bytes of words at a time.
+    """
+
+    PIECE = 1 << 18
 
     def __init__(self, words: list[str], word_rows: int, gram_rows: int):
+        self.sizes = (word_rows, gram_rows)
+        self.word, self.grams = (np.empty(0, np.min_scalar_type(n - 1)) for n in self.sizes)
+        self.count = np.empty(0, np.int32)
+        self.add(words)
+
+    def add(self, words: list[str]) -> None:
+        """`words` get the next numbers."""
+        parts = [self.hashed(words[some]) for some in pieces(np.fromiter(map(len, words), np.int64, len(words)), self.PIECE)]
+        for name, new in zip(("word", "grams", "count"), zip(*parts)):
+            own = getattr(self, name)
+            setattr(self, name, np.concatenate([own, *new], dtype=own.dtype, casting="same_kind"))
+        self.first = np.cumsum(self.count, dtype=np.int64) - self.count
+
+    def hashed(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word row, n-gram rows end to end, number of n-grams) of `words`."""
+        word_rows, gram_rows = self.sizes
         marked = [bytes([EDGE[0]]) + w.encode() + bytes([EDGE[1]]) for w in words]
         size = np.array([len(m) for m in marked], dtype=np.int64)
         text = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
@@ -63,7 +91,7 @@ class Features:
         at = np.arange(len(text)) - first[of]
         left = size[of] - at
         power = np.cumprod(np.full(int(size.max(initial=1)), 1099511628211, dtype=np.uint64))
-        self.word = mixed(np.add.reduceat(text * power[at], first) if len(words) else np.empty(0, np.uint64), word_rows)
+        word = mixed(np.add.reduceat(text * power[at], first), word_rows)
         padded = np.append(text, np.zeros(4, np.uint64))
         rows, owner = [], []
         for n in (3, 4, 5):
@@ -75,9 +103,8 @@ class Features:
             owner.append(of[whole])
         owner = np.concatenate(owner)
         order = np.argsort(owner, kind="stable")
-        self.grams = np.concatenate(rows)[order]
-        self.count = np.bincount(owner, minlength=len(words))
-        self.first = np.cumsum(self.count) - self.count
+        grams = np.concatenate(rows)[order]
+        return word.astype(self.word.dtype), grams.astype(self.grams.dtype), np.bincount(owner, minlength=len(words)).astype(np.int32)
 
     def runs(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(n-gram rows of the words `ids`, which of `ids` each belongs to)."""
@@ -224,29 +251,44 @@ def windows_of(word_ids: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np
     return padded[np.where(real, first[doc][:, None] + at, len(word_ids))], real, doc
 
 
-def window_logits(net: Network, features: Features, ids: np.ndarray, real: np.ndarray, step: int = 4096) -> np.ndarray:
-    """Logits of windows. What the gates get from a word is computed once for each distinct word."""
-    vectors, _ = net.inputs(features, np.arange(len(features.word)))
-    none = len(vectors)
-    vectors = np.vstack([vectors, np.zeros((1, net.p["word"].shape[1]), np.float32)]).astype(np.float32)
-    table = {d: vectors @ net.p[f"{d}x"] + net.p[f"{d}c"] for d in "fb"}
+def window_logits(net: Network, features: Features, ids: np.ndarray, real: np.ndarray, step: int = 2048, group: int = 16_384) -> np.ndarray:
+    """Logits of windows. What the gates get from a word is computed once for each distinct word of a group of windows."""
     out = []
-    for i in range(0, len(ids), step):
-        some = np.where(real[i : i + step], ids[i : i + step], none).T
-        mask = real[i : i + step].T
-        mask = mask | ~mask.any(axis=0)
-        out.append(net.from_gates(table["f"][some], table["b"][some], mask))
+    for i in range(0, len(ids), group):
+        spans, full = ids[i : i + group], real[i : i + group]
+        used = np.zeros(len(features.word), bool)
+        used[spans[full]] = True
+        place, own = np.cumsum(used, dtype=np.int32) - 1, np.flatnonzero(used)
+        vectors = np.zeros((len(own) + 1, net.p["word"].shape[1]), np.float32)  # the last one is of no word
+        for some in pieces(features.count[own], 1 << 17):
+            vectors[some] = net.inputs(features, own[some])[0]
+        table = {d: vectors @ net.p[f"{d}x"] + net.p[f"{d}c"] for d in "fb"}
+        for k in range(0, len(spans), step):
+            mask = full[k : k + step]
+            some = np.full(mask.shape, len(own), np.int32)
+            some[mask] = place[spans[k : k + step][mask]]
+            mask = mask.T | ~mask.any(axis=1)
+            out.append(net.from_gates(table["f"][some.T], table["b"][some.T], mask))
     return np.concatenate(out) if out else np.empty(0, np.float32)
 
 
-def factorised(texts: Iterable[list[str]], net: Network) -> tuple[Features, np.ndarray, np.ndarray]:
-    """(features of the distinct words, word ids end to end, limits of the texts). Of the words only the distinct ones are held."""
+def factorised(texts: Iterable[list[str]], net: Network, most: int = 1 << 18) -> tuple[Features, np.ndarray, np.ndarray]:
+    """(features of the words, word ids end to end, limits of the texts).
+
+    Of the words only the distinct ones are held, as text at most about `most`: then they are forgotten, and one
+    that comes again gets a second id with the same features.
+    """
     known: dict[str, int] = {}
-    ids, limits = array("q"), [0]
+    features, ids, limits, before = Features([], *net.sizes), array("i"), [0], 0
     for words in texts:
-        ids.extend([known.setdefault(w, len(known)) for w in words])
+        ids.extend([known.setdefault(w, before + len(known)) for w in words])
         limits.append(len(ids))
-    return Features(list(known), *net.sizes), np.array(ids, dtype=np.int64), np.array(limits)
+        if len(known) >= most:
+            features.add(list(known))
+            before += len(known)
+            known.clear()
+    features.add(list(known))
+    return features, np.array(ids, dtype=np.int32), np.array(limits)
 
 
 def document_logits(net: Network, texts: list[str | None], most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
@@ -283,13 +325,14 @@ def train(sample: pd.DataFrame, odds: float = 1.0, seed: int = 11, batch: int =
         return None
     rng = np.random.default_rng(seed)
     net = Network()
-    features, ids, limits = factorised((w.split() for w in sample["window"]), net)
-    at = limits[:-1, None] + np.arange(SPAN)
-    real = at < limits[1:, None]
-    ids = np.append(ids, 0)[np.where(real, at, len(ids))]
-    real[:, 0] |= ~real.any(axis=1)
+    features, words, limits = factorised((w.split() for w in sample["window"]), net)
     label = sample["toxic"].to_numpy(np.float32)
     doc, _ = pd.factorize(sample["doc_id"])
+    del sample  # its texts are the larger part of what the driver holds
+    real = np.arange(SPAN) < np.diff(limits)[:, None]
+    ids = np.zeros(real.shape, words.dtype)
+    ids[real] = words
+    real[:, 0] |= ~real.any(axis=1)
     of_doc = pd.Series(label).groupby(doc).first().to_numpy()
     held = rng.permutation(len(of_doc)) % 6 == 0
     for c in (0, 1):
@@ -360,7 +403,8 @@ def sample_windows(docs: DataFrame, labels: DataFrame, rows: int, most: int, id_
         chosen = fitting(sizes, most)
         if len(chosen) < len(sizes):
             found = found.where(F.col("doc_id").isin(chosen))
-        found = found.toPandas()
+        with configured(docs.sparkSession, "spark.sql.execution.arrow.pyspark.enabled", "true"):
+            found = found.toPandas()
     return found.sort_values(["doc_id", "window"], kind="stable", ignore_index=True), number.get(0, 0) / max(1, number.get(1, 0))
 
 

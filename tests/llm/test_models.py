@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -86,6 +87,34 @@ def test_long_texts_are_sampled_whole(spark):
     assert sample.groupby("doc_id").size().to_dict() == {3: whole[3], 4: whole[4]}
 
 
+def test_distinct_words_take_little_memory():
+    """Hashing and scoring hold a few bytes an n-gram, not a vector each."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefgh", k=40)) for _ in range(32_000)]
+    net = toxicity.Network()
+    ids, real = np.arange(len(words)).reshape(-1, 32), np.ones((1000, 32), bool)
+    tracemalloc.start()
+    try:
+        features = toxicity.Features(words, *net.sizes)
+        toxicity.window_logits(net, features, ids, real)
+        assert tracemalloc.get_traced_memory()[1] < 80e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_forgotten_words_and_groups_change_nothing():
+    texts = [t.split() for _, t, _ in toxic_corpus(40, 2)] + [[]]
+    net = toxicity.Network()
+    net.p["word"] += np.random.default_rng(1).standard_normal(net.p["word"].shape).astype(np.float32)
+    features, ids, limits = toxicity.factorised(texts, net)
+    spans, real, _ = toxicity.windows_of(ids, limits)
+    whole = toxicity.window_logits(net, features, spans, real)
+    again, ids, same = toxicity.factorised(texts, net, most=100)
+    assert len(again.word) > len(features.word) == len({w for t in texts for w in t}) and (same == limits).all()
+    spans, _, _ = toxicity.windows_of(ids, limits)
+    assert np.allclose(whole, toxicity.window_logits(net, again, spans, real, step=7, group=21), atol=1e-5)
+
+
 def test_one_class_gives_zero(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     assert toxicity.score(docs, spark.createDataFrame([(1, 0)], "doc_id long, toxic int")).first().score == 0.0
